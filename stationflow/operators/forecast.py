@@ -242,7 +242,10 @@ def fit_predict(
         + ["yhat_lower double", "yhat_upper double"]
     )
     rows = series.select(*k, "ds", F.col("y").cast("double").alias("y"), *regressors)
-    cuts = folds.select(*k, F.col("fold").cast("int").alias("fold"), "cutoff")
+    # Renamed keys: folds are usually derived from the series itself.
+    cuts = folds.select(
+        *[F.col(c).alias(c) for c in k], F.col("fold").cast("int").alias("fold"), "cutoff"
+    )
     return rows.groupBy(*k).cogroup(cuts.groupBy(*k)).applyInPandas(fit, out)
 
 
