@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from stationflow.operators import flow
 from stationflow.operators import forecast as ops
+from stationflow.plans import stages
+from stationflow.sources.tables import store
 
 from .flow import levels, recent
 from .registry import query
@@ -24,20 +26,23 @@ _MEASURES = ["mse", "rmse", "mae", "mdape", "smape", "coverage"]
 
 
 def panel(spark, sf):
-    counted = flow.net_flow(trips(spark, sf)).join(weather_once(spark, sf), "ts_hour")
-    return ops.panel(counted, "net_flow")
-
+    """Stored, since folds, training and test rows all start from it."""
+    return store(flows(spark, sf), "panel")
 
-def cutoffs(spark, sf):
-    return flow.holdout_cutoff(levels(spark, sf), HORIZON_HOURS)
 
-
-def train(spark, sf):
-    return ops.training_frame(panel(spark, sf), recent(spark, sf), cutoffs(spark, sf), SPLIT)
+def flows(spark, sf):
+    counted = flow.net_flow(trips(spark, sf)).join(weather_once(spark, sf), "ts_hour")
+    return ops.panel(counted, "net_flow")
 
 
-def holdout(spark, sf):
-    return ops.holdout_frame(recent(spark, sf), cutoffs(spark, sf))
+def frames(spark, sf):
+    """Training rows, holdout rows and cut-offs over stored hourly tables."""
+    hourly = [
+        store(flow.net_flow(trips(spark, sf)), "flow"),
+        store(weather_once(spark, sf), "weather"),
+        store(levels(spark, sf), "levels"),
+    ]
+    return stages.frames(*hourly, SPLIT, HORIZON_HOURS)
 
 
 def folds(rows):
@@ -51,8 +56,8 @@ def backtest(spark, sf):
 
 def results(spark, sf):
     """Holdout rows with the station's mean flow at that hour as forecast."""
-    held = holdout(spark, sf)
-    means = train(spark, sf).groupBy("station_id", "hour").agg(F.avg("y").alias("yhat"))
+    train, held, _ = frames(spark, sf)
+    means = train.groupBy("station_id", "hour").agg(F.avg("y").alias("yhat"))
     ahead = held.select("station_id", "ds", "hour").join(means, ["station_id", "hour"])
     return ops.attach_forecast(held, ahead)
 
@@ -63,17 +68,17 @@ def _rounded(df, columns, digits=6):
 
 @query(using("panel", "SELECT * FROM panel"))
 def flow_panel(spark, sf):
-    return panel(spark, sf)
+    return flows(spark, sf)
 
 
 @query(using("train", "SELECT * FROM train"))
 def training_frame(spark, sf):
-    return train(spark, sf)
+    return frames(spark, sf)[0]
 
 
 @query(using("holdout", "SELECT * FROM holdout"))
 def holdout_frame(spark, sf):
-    return holdout(spark, sf)
+    return frames(spark, sf)[1]
 
 
 @query(using("recent cutoffs", """
@@ -83,7 +88,8 @@ def holdout_frame(spark, sf):
         FROM recent)
     JOIN cutoffs USING (station_id) WHERE ts_hour > cutoff"""))
 def holdout_frame_carried(spark, sf):
-    held = ops.holdout_frame(recent(spark, sf), cutoffs(spark, sf), carry=True)
+    cutoffs = flow.holdout_cutoff(levels(spark, sf), HORIZON_HOURS)
+    held = ops.holdout_frame(recent(spark, sf), cutoffs, carry=True)
     return held.select("station_id", "ds", "y", "num_bikes_available")
 
 

@@ -134,8 +134,14 @@ def fill_hours(
     neither a table of all hours nor a join. The default bounds are read from the
     data as one row.
     """
+    # The totals go unused, but with them the subquery needs the same aggregate as
+    # the rows do, and Spark runs it once for both instead of reading the trips twice.
     bounds = hourly.agg(
-        F.struct(F.min("ts_hour").alias("first"), F.max("ts_hour").alias("last")).alias("b")
+        F.struct(
+            F.min("ts_hour").alias("first"),
+            F.max("ts_hour").alias("last"),
+            *[F.sum(m).alias(m) for m in measures],
+        ).alias("b")
     ).scalar()
     low = bounds.getField("first") if first is None else wall_clock_literal(first)
     high = bounds.getField("last") if last is None else wall_clock_literal(last)

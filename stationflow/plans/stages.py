@@ -152,30 +152,36 @@ def create_gold(spark: SparkSession, root: str, run: str = "0") -> None:
     write_table(empty_table(spark, schemas.REGISTRY), root, "gold", "model_registry", run)
 
 
+def hourly_tables(
+    spark: SparkSession, root: str, status: DataFrame, run: str, zone: str = "UTC"
+) -> None:
+    """Stores what modelling needs of the raw tables: flow, weather and levels per hour.
+
+    Trips and status are read once here. Everything later works on these tables,
+    whose size depends on stations and hours only. Weather is reduced to one row
+    per hour, so no flow is counted twice.
+    """
+    trips = typed_trips(read_table(spark, root, "silver", "trips"))
+    write_table(flow.net_flow(trips), root, "silver", "flow_hourly", run)
+    measures = ["temp", "wind_speed", "humidity"]
+    weather = typed_weather(read_table(spark, root, "silver", "weather"))
+    once = quality.keep_first(weather.select("ts_hour", *measures), ["ts_hour"], measures)
+    write_table(once, root, "silver", "weather_hourly", run)
+    levels = flow.status_hourly(status, ["num_bikes_available"], zone=zone)
+    write_table(levels, root, "silver", "status_hourly", run)
+
+
 def frames(
-    trips: DataFrame,
+    flows: DataFrame,
     weather: DataFrame,
-    status: DataFrame,
+    levels: DataFrame,
     split: dt.date,
     hours_to_forecast: int = 4,
-    zone: str = "UTC",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Training rows, holdout rows and cut-offs of every station.
-
-    Weather is reduced to one row per hour first, so no flow is counted twice.
-    """
-    hourly_weather = quality.keep_first(
-        weather.select("ts_hour", "temp", "wind_speed", "humidity"),
-        ["ts_hour"],
-        ["temp", "wind_speed", "humidity"],
-    )
-    counted = flow.net_flow(trips).join(hourly_weather, "ts_hour")
-    history = forecast.panel(counted, "net_flow")
-    levels = flow.status_hourly(status, ["num_bikes_available"], zone=zone)
+    """Training rows, holdout rows and cut-offs of every station, from the hourly tables."""
+    history = forecast.panel(flows.join(weather, "ts_hour"), "net_flow")
     cutoffs = flow.holdout_cutoff(levels, hours_to_forecast)
-    recent = flow.weather_with_status(
-        hourly_weather, levels, dt.datetime.combine(split, dt.time())
-    )
+    recent = flow.weather_with_status(weather, levels, dt.datetime.combine(split, dt.time()))
     train = forecast.training_frame(history, recent, cutoffs, split)
     return train, forecast.holdout_frame(recent, cutoffs), cutoffs
 
@@ -229,9 +235,12 @@ def train_and_publish(
     The frames and the tuning result are stored, which keeps the later plans short
     and lets a lost executor recompute from them.
     """
-    trips = typed_trips(read_table(spark, root, "silver", "trips"))
-    weather = typed_weather(read_table(spark, root, "silver", "weather"))
-    train, holdout, cutoffs = frames(trips, weather, status, split, hours_to_forecast, zone)
+    hourly_tables(spark, root, status, run, zone)
+    flows, weather, levels = (
+        read_table(spark, root, "silver", name, run)
+        for name in ("flow_hourly", "weather_hourly", "status_hourly")
+    )
+    train, holdout, cutoffs = frames(flows, weather, levels, split, hours_to_forecast)
     train = write_table(train, root, "gold", "training_frame", run)
     holdout = write_table(holdout, root, "gold", "holdout_frame", run)
     cutoffs = write_table(cutoffs, root, "gold", "cutoffs", run)

@@ -96,3 +96,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="stationflow-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to a new scratch table and read back.
+
+    For a result that several later plans start from: it is computed once, and a
+    lost executor costs a read rather than a recomputation.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
