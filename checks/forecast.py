@@ -59,7 +59,7 @@ def results(spark, sf):
     train, held, _ = frames(spark, sf)
     means = train.groupBy("station_id", "hour").agg(F.avg("y").alias("yhat"))
     ahead = held.select("station_id", "ds", "hour").join(means, ["station_id", "hour"])
-    return ops.attach_forecast(held, ahead)
+    return store(ops.attach_forecast(held, ahead), "results")
 
 
 def _rounded(df, columns, digits=6):

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timeparts import epoch_wall_clock, wall_clock_literal
 
@@ -22,19 +24,24 @@ def latest_status(
 ) -> DataFrame:
     """Last status reported not after ``as_of``.
 
-    ``strict_hour`` takes only reports from before the hour of ``as_of``. The
-    latest row is kept by an aggregate, so each task sends one row per key.
+    ``as_of`` is wall-clock time in ``zone``; it becomes epoch seconds, so the scan
+    can skip later reports. ``strict_hour`` takes only reports from before its hour.
+    The latest row is kept by an aggregate, so each task sends one row per key.
     """
-    reported = status.select(
-        *k, epoch_wall_clock("last_reported", zone).alias("last_reported"), *levels
-    )
-    ts = F.col("last_reported")
     if strict_hour:
-        known = ts < wall_clock_literal(as_of.replace(minute=0, second=0, microsecond=0))
-    else:
-        known = ts <= wall_clock_literal(as_of)
-    latest = F.max(F.struct("last_reported", *levels)).alias("_row")
-    return reported.filter(known).groupBy(*k).agg(latest).select(*k, "_row.*")
+        as_of = as_of.replace(minute=0, second=0, microsecond=0)
+    until = F.lit(int(as_of.replace(tzinfo=ZoneInfo(zone)).timestamp()))
+    seconds = F.col("last_reported")
+    if status.schema["last_reported"].dataType == T.StringType():
+        seconds = seconds.try_cast("bigint")
+    known = status.filter(seconds < until if strict_hour else seconds <= until)
+    # One number to order by keeps this a hash aggregate; reports of the same second
+    # are told apart by a hash of the row, the same on every run.
+    order = seconds * F.lit(2**20) + F.pmod(F.xxhash64(*levels), F.lit(2**20))
+    return known.groupBy(*k).agg(
+        epoch_wall_clock(F.max(seconds), zone).alias("last_reported"),
+        *[F.max_by(c, order).alias(c) for c in levels],
+    )
 
 
 def station_capacity(info: DataFrame, stations: Sequence | None = None) -> DataFrame:

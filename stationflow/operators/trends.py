@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import pct_change
@@ -69,9 +69,14 @@ def cross_counts(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
 
 
+def _count_columns(b: str, values: Sequence[str]) -> list[Column]:
+    """One count per value, NULL where there is none; one shuffle, where pivot takes two."""
+    return [F.nullif(F.count_if(F.col(b) == F.lit(v)), F.lit(0)).alias(v) for v in values]
+
+
 def crosstab(df: DataFrame, a: str, b: str, values: Sequence[str]) -> DataFrame:
     """One row per ``a``, one count column per listed value of ``b``."""
-    return df.groupBy(a).pivot(b, list(values)).agg(F.count(F.lit(1)))
+    return df.groupBy(a).agg(*_count_columns(b, values))
 
 
 def dow_by_member(
@@ -83,8 +88,7 @@ def dow_by_member(
     """Trips per day of the week, one column per member type, Sunday first."""
     return (
         df.groupBy(F.dayofweek(ts).alias("dow"), day_name(ts).alias("day"))
-        .pivot(member, list(values))
-        .agg(F.count(F.lit(1)))
+        .agg(*_count_columns(member, values))
         .orderBy("dow")
     )
 
