@@ -333,7 +333,7 @@ def _series_fitter(sets, regressors, horizon, z, k):
                 )
                 parts.append(part)
         if not parts:
-            return pd.DataFrame({c: [] for c in columns})
+            return pd.DataFrame()
         out = pd.concat(parts, ignore_index=True)
         for name, value in zip(k, key):
             out[name] = value
