@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stationflow.operators import flow as ops
+from stationflow.sources.tables import store
 
 from .registry import query
 from .tables import HORIZON_HOURS, SPLIT, status, trips, using, weather, weather_once
@@ -71,7 +72,7 @@ def net_flow_single(spark, sf):
       ON w.ts_hour = t.ts_hour"""))
 def weather_with_trips(spark, sf):
     bought = trips(spark, sf).filter(F.col("rideable_type") == "purchase")
-    joined = ops.weather_with_trips(weather(spark, sf), bought)
+    joined = ops.weather_with_trips(store(weather(spark, sf), "weather"), bought)
     return joined.select("ts_hour", "main", "temp", "ride_id", "start_station_id")
 
 

@@ -32,7 +32,7 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
         F.col("ts").alias("started_at"),
         (F.col("ts") + F.make_dt_interval(mins=F.floor("value").cast("int"))).alias("ended_at"),
         (F.col("user_id") % 20).cast("int").alias("start_station_id"),
-        (F.get_json_object("props", "$.k").cast("int") % 20).alias("end_station_id"),
+        (F.regexp_extract("props", "[0-9]+", 0).cast("int") % 20).alias("end_station_id"),
         F.when(F.col("user_id") % 3 == 0, "casual").otherwise("member").alias("member_casual"),
         F.to_date("ts").alias("date"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts_hour"),

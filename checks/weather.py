@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationflow.operators import weather as ops
+from stationflow.sources.tables import store
 
 from .registry import query
 from .tables import trips, using, weather
@@ -22,14 +23,15 @@ def _by_day(spark, sf, k=()):
 
 @query(using("rides", f"SELECT {', '.join(_JOINED)} FROM rides"))
 def trips_with_weather(spark, sf):
-    return ops.trips_with_weather(trips(spark, sf), weather(spark, sf)).select(*_JOINED)
+    hours = store(weather(spark, sf), "weather")
+    return ops.trips_with_weather(trips(spark, sf), hours).select(*_JOINED)
 
 
 @query(using("rides", f"SELECT {', '.join(_JOINED)} FROM rides"))
 def trips_with_weather_salted(spark, sf):
     """The same join on the way taken when weather is too large to broadcast."""
-    joined = ops.trips_with_weather(trips(spark, sf), weather(spark, sf), max_rows=0)
-    return joined.select(*_JOINED)
+    hours = store(weather(spark, sf), "weather")
+    return ops.trips_with_weather(trips(spark, sf), hours, max_rows=0).select(*_JOINED)
 
 
 _UNDATED = "CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('hour', ts) END"

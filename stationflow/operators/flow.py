@@ -29,7 +29,10 @@ def weather_with_trips(
     weather rows whose hour has no trip are added from the distinct trip hours.
     """
     trips = trips.drop(*[c for c in trips.columns if c != "ts_hour" and c in weather.columns])
-    matched = join_small(trips, weather, ["ts_hour"], "inner", max_rows=max_rows)
+    salt_on = [c for c in ("ride_id", "started_at") if c in trips.columns]
+    matched = join_small(
+        trips, weather, ["ts_hour"], "inner", max_rows=max_rows, salt_on=salt_on
+    )
     idle = weather.join(trips.select("ts_hour").distinct(), "ts_hour", "left_anti")
     return matched.unionByName(idle, allowMissingColumns=True)
 
@@ -118,7 +121,9 @@ def net_flow(
         hourly = hourly.filter(F.col("ts_hour") >= wall_clock_literal(first))
     if last is not None:
         hourly = hourly.filter(F.col("ts_hour") <= wall_clock_literal(last))
-    return fill_hours(hourly, ["departures", "arrivals", "net_flow"], first, last) if zero_fill else hourly
+    if not zero_fill:
+        return hourly
+    return fill_hours(hourly, ["departures", "arrivals", "net_flow"], first, last)
 
 
 def fill_hours(

@@ -29,18 +29,22 @@ def join_small(
     null_safe: bool = False,
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    salt_on: Sequence[str] = (),
 ) -> DataFrame:
     """Left or inner join; every matching pair is kept on either way.
 
-    ``null_safe`` lets NULL keys meet NULL keys.
+    ``null_safe`` lets NULL keys meet NULL keys. ``salt_on`` names columns that tell
+    most rows of a hot key apart; by default all of them are hashed.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     on = list(on)
     if fits_broadcast(small, max_rows):
         return _join(large, F.broadcast(small), on, how, null_safe)
-    # A row hashes to one salt; the other side is present under every salt.
-    salted = large.withColumn("_salt", F.pmod(F.xxhash64(*large.columns), F.lit(salts)))
+    # A row hashes to one salt, the same on every run, so a recomputed task agrees
+    # with the rest. The other side is present under every salt.
+    row = F.xxhash64(*(salt_on or large.columns))
+    salted = large.withColumn("_salt", F.pmod(row, F.lit(salts)))
     copies = small.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     )
