@@ -37,12 +37,10 @@ def flows(spark, sf):
 
 def frames(spark, sf):
     """Training rows, holdout rows and cut-offs over stored hourly tables."""
-    hourly = [
-        store(flow.net_flow(trips(spark, sf)), "flow"),
-        store(weather_once(spark, sf), "weather"),
-        store(levels(spark, sf), "levels"),
-    ]
-    return stages.frames(*hourly, SPLIT, HORIZON_HOURS)
+    flows = store(flow.net_flow(trips(spark, sf)), "flow")
+    weather = store(weather_once(spark, sf), "weather")
+    status = store(levels(spark, sf), "levels")
+    return stages.frames(flows, weather, weather, status, SPLIT, HORIZON_HOURS)
 
 
 def folds(rows):

@@ -9,6 +9,7 @@ from stationflow.sources import schemas, tables
 from stationflow.streaming.ingest import drain, stream_csv
 
 from .registry import query
+from .tables import live_weather as given_live
 from .tables import trips, using, weather
 
 
@@ -85,6 +86,17 @@ def stream_weather_csv(spark, sf):
     return stages.typed_weather(silver).select(*_WEATHER)
 
 
+@query(using("weather", """
+    SELECT ts_hour, CAST(ts_hour AS DATE) AS date, strftime(ts_hour, '%H:00:00') AS time, temp,
+           CAST(humidity AS DOUBLE) AS humidity, CAST(humidity + 1000 AS DOUBLE) AS pressure,
+           wind_speed, CAST(humidity % 100 AS DOUBLE) AS clouds, temp / 4 AS rain_1h
+    FROM weather"""))
+def live_weather(spark, sf):
+    return stages.typed_live_weather(given_live(spark, sf)).select(
+        "ts_hour", "date", *schemas.LIVE_WEATHER, "rain_1h"
+    )
+
+
 @query(using("trips", """
     SELECT CAST(ride_id AS VARCHAR) AS ride_id, rideable_type, member_casual,
            'S' || start_station_id AS start_station_name, date,

@@ -73,6 +73,22 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def live_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """The live feed: epoch seconds, a nested column and a column name with a dot."""
+    return weather(spark, sf).select(
+        F.unix_timestamp("ts_hour").alias("dt"),
+        F.date_format("ts_hour", "yyyy-MM-dd HH:mm:ss").alias("time"),
+        "temp",
+        "feels_like",
+        "humidity",
+        "wind_speed",
+        (F.col("humidity") % 100).alias("clouds"),
+        (F.col("humidity") + 1000).alias("pressure"),
+        F.array(F.struct(F.col("main").alias("main"))).alias("weather"),
+        (F.col("temp") / 4).alias("rain.1h"),
+    )
+
+
 def weather_once(spark: SparkSession, sf: str) -> DataFrame:
     """One row per hour, without the category."""
     from stationflow.operators.quality import keep_first

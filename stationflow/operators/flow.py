@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import epoch_wall_clock, hour_label, hour_start, wall_clock_literal
+from ..sources.schemas import STATUS_LEVELS
 from .joins import BROADCAST_ROWS, join_small
 
 HOUR = "INTERVAL 1 HOUR"
@@ -167,7 +168,7 @@ def fill_hours(
 
 def status_hourly(
     status: DataFrame,
-    levels: Sequence[str],
+    levels: Sequence[str] = STATUS_LEVELS,
     k: Sequence[str] = ("station_id",),
     reported: str = "last_reported",
     zone: str = "UTC",

@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import to_number
-from ..functions.timeparts import epoch_parts, hour_bucket, wall_clock
+from ..functions.timeparts import (
+    epoch_parts,
+    epoch_wall_clock,
+    hour_bucket,
+    hour_label,
+    hour_start,
+    wall_clock,
+)
 from ..operators import flow, forecast, quality, registry, serving
 from ..sources import schemas
 from ..sources.tables import checkpoint_path, empty_table, read_table, table_path, write_table
@@ -79,10 +86,16 @@ def clean_trips(
         if "start_month" in trips.columns:
             here = F.col("start_month")
             trips = trips.filter(here <= month if late else here >= month)
-    trips = hour_bucket(trips.drop("start_month")).withColumns(
-        {"year": F.year("date"), "month": F.month("date")}
-    )
-    return quality.drop_duplicates(quality.impute_mode(trips, impute))
+    trips = trips.drop("start_month")
+    if impute == "*" or "started_at" in impute:
+        return quality.drop_duplicates(quality.impute_mode(with_hour(trips), impute))
+    # Hour and date parts follow from the row: added last, they stay out of the shuffle.
+    return with_hour(quality.drop_duplicates(quality.impute_mode(trips, impute)))
+
+
+def with_hour(trips: DataFrame) -> DataFrame:
+    """Adds hour, date, time, year and month of the start."""
+    return hour_bucket(trips).withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
 def clean_weather(
@@ -100,8 +113,7 @@ def station_trips(
     end: str = "end_station_name",
 ) -> DataFrame:
     """Trips that start or end at one station, with hour and date parts."""
-    rows = hour_bucket(raw.filter(flow.touches_station(station, start, end)))
-    return rows.withColumns({"year": F.year("date"), "month": F.month("date")})
+    return with_hour(raw.filter(flow.touches_station(station, start, end)))
 
 
 def silver_trips(trips: DataFrame) -> DataFrame:
@@ -125,6 +137,23 @@ def typed_weather(silver: DataFrame) -> DataFrame:
     return hour_bucket(silver.withColumns(numbers).withColumn("_at", hour), "_at").drop("_at")
 
 
+def typed_live_weather(live: DataFrame, zone: str = "UTC") -> DataFrame:
+    """The live feed with typed numbers and the hour of its report.
+
+    The nested ``weather`` column is not used; ``rain.1h`` is renamed to ``rain_1h``.
+    """
+    flat = live.drop("weather").withColumnsRenamed({"rain.1h": "rain_1h"})
+    numbers = {
+        c: to_number(c)
+        for c in (*schemas.SILVER_NUMBERS, *schemas.LIVE_WEATHER)
+        if c in flat.columns and c != "time"
+    }
+    hour = {"ts_hour": hour_start(epoch_wall_clock("dt", zone))}
+    return flat.withColumns(numbers).withColumns(hour).withColumns(
+        {"date": F.to_date("ts_hour"), "time": hour_label("ts_hour")}
+    )
+
+
 def prepare(
     spark: SparkSession,
     trips_csv: str,
@@ -153,7 +182,12 @@ def create_gold(spark: SparkSession, root: str, run: str = "0") -> None:
 
 
 def hourly_tables(
-    spark: SparkSession, root: str, status: DataFrame, run: str, zone: str = "UTC"
+    spark: SparkSession,
+    root: str,
+    status: DataFrame,
+    live_weather: DataFrame,
+    run: str,
+    zone: str = "UTC",
 ) -> None:
     """Stores what modelling needs of the raw tables: flow, weather and levels per hour.
 
@@ -163,25 +197,37 @@ def hourly_tables(
     """
     trips = typed_trips(read_table(spark, root, "silver", "trips"))
     write_table(flow.net_flow(trips), root, "silver", "flow_hourly", run)
-    measures = ["temp", "wind_speed", "humidity"]
-    weather = typed_weather(read_table(spark, root, "silver", "weather"))
-    once = quality.keep_first(weather.select("ts_hour", *measures), ["ts_hour"], measures)
-    write_table(once, root, "silver", "weather_hourly", run)
-    levels = flow.status_hourly(status, ["num_bikes_available"], zone=zone)
+    past = typed_weather(read_table(spark, root, "silver", "weather"))
+    write_table(once_per_hour(past), root, "silver", "weather_hourly", run)
+    live = once_per_hour(typed_live_weather(live_weather, zone))
+    write_table(live, root, "silver", "live_weather_hourly", run)
+    levels = flow.status_hourly(status, zone=zone)
     write_table(levels, root, "silver", "status_hourly", run)
 
 
+def once_per_hour(weather: DataFrame) -> DataFrame:
+    """Temperature, wind and humidity, one row per hour."""
+    measures = ["temp", "wind_speed", "humidity"]
+    return quality.keep_first(weather.select("ts_hour", *measures), ["ts_hour"], measures)
+
+
 def frames(
     flows: DataFrame,
     weather: DataFrame,
+    live_weather: DataFrame,
     levels: DataFrame,
     split: dt.date,
     hours_to_forecast: int = 4,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Training rows, holdout rows and cut-offs of every station, from the hourly tables."""
+    """Training rows, holdout rows and cut-offs of every station, from the hourly tables.
+
+    Until ``split`` flow is counted from trips beside past weather, from then on it
+    is the change of the status levels beside the live feed.
+    """
     history = forecast.panel(flows.join(weather, "ts_hour"), "net_flow")
     cutoffs = flow.holdout_cutoff(levels, hours_to_forecast)
-    recent = flow.weather_with_status(weather, levels, dt.datetime.combine(split, dt.time()))
+    start = dt.datetime.combine(split, dt.time())
+    recent = flow.weather_with_status(live_weather, levels, start)
     train = forecast.training_frame(history, recent, cutoffs, split)
     return train, forecast.holdout_frame(recent, cutoffs), cutoffs
 
@@ -219,6 +265,7 @@ def train_and_publish(
     spark: SparkSession,
     root: str,
     status: DataFrame,
+    live_weather: DataFrame,
     split: dt.date,
     previous_run: str,
     run: str,
@@ -235,12 +282,10 @@ def train_and_publish(
     The frames and the tuning result are stored, which keeps the later plans short
     and lets a lost executor recompute from them.
     """
-    hourly_tables(spark, root, status, run, zone)
-    flows, weather, levels = (
-        read_table(spark, root, "silver", name, run)
-        for name in ("flow_hourly", "weather_hourly", "status_hourly")
-    )
-    train, holdout, cutoffs = frames(flows, weather, levels, split, hours_to_forecast)
+    hourly_tables(spark, root, status, live_weather, run, zone)
+    names = ("flow_hourly", "weather_hourly", "live_weather_hourly", "status_hourly")
+    hourly = [read_table(spark, root, "silver", name, run) for name in names]
+    train, holdout, cutoffs = frames(*hourly, split, hours_to_forecast)
     train = write_table(train, root, "gold", "training_frame", run)
     holdout = write_table(holdout, root, "gold", "holdout_frame", run)
     cutoffs = write_table(cutoffs, root, "gold", "cutoffs", run)
@@ -261,10 +306,18 @@ def train_and_publish(
 
 
 def station_view(
-    gold: DataFrame, status: DataFrame, info: DataFrame, as_of: dt.datetime, zone: str = "UTC"
+    gold: DataFrame,
+    status: DataFrame,
+    live_weather: DataFrame,
+    info: DataFrame,
+    as_of: dt.datetime,
+    zone: str = "UTC",
 ) -> dict[str, DataFrame]:
-    """What the station screen shows: latest status, forecast levels, capacity state."""
+    """What the station screen shows: weather, latest status, forecast levels, capacity state."""
+    weather = typed_live_weather(live_weather, zone)
+    shown = [c for c in schemas.LIVE_WEATHER if c in weather.columns]
     return {
+        "weather": serving.current_weather(weather, as_of, shown),
         "status": serving.latest_status(status, as_of, zone=zone),
         "capacity": serving.station_capacity(info),
         "forecast": serving.capacity_breach(serving.forecast_level(gold), info),

@@ -19,7 +19,8 @@ WEATHER = _text(
     "pop snow_1h id main description icon loc lat lon timezone timezone_offset rain_1h"
 )
 
-# Columns kept in the silver tables.
+# Columns kept in the silver tables, of the status feed and of the live weather
+# feed, and the silver columns that are numbers.
 SILVER_TRIPS = (
     "ride_id rideable_type started_at ended_at start_station_name start_station_id "
     "end_station_name end_station_id member_casual date time"
@@ -32,12 +33,7 @@ STATUS_LEVELS = (
     "num_bikes_disabled num_bikes_available"
 ).split()
 LIVE_WEATHER = "time temp humidity pressure wind_speed clouds".split()
-HOURLY_FLOW = (
-    "temp wind_speed visibility pressure feels_like humidity main date hour net_bike_change"
-).split()
-SILVER_NUMBERS = (
-    "temp feels_like humidity wind_speed visibility pressure rain_1h"
-).split()
+SILVER_NUMBERS = "temp feels_like humidity wind_speed visibility pressure rain_1h".split()
 
 # Published forecasts, one series per station.
 GOLD = T.StructType(

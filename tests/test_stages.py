@@ -37,9 +37,10 @@ def status(spark, sf):
     return given.status(spark, sf).withColumn("station_id", F.col("station_id").cast("string"))
 
 
-def publish(spark, lake, status, before, run, promote):
+def publish(spark, sf, lake, status, before, run, promote):
+    live = given.live_weather(spark, sf)
     return stages.train_and_publish(
-        spark, lake, status, given.SPLIT, before, run, 4, promote, GRID, 14, 3, 5
+        spark, lake, status, live, given.SPLIT, before, run, 4, promote, GRID, 14, 3, 5
     )
 
 
@@ -55,14 +56,14 @@ def test_silver_tables(spark, sf, lake):
 
 def test_publish_twice(spark, sf, lake, status):
     stages.create_gold(spark, lake)
-    first = publish(spark, lake, status, "0", "1", False)
+    first = publish(spark, sf, lake, status, "0", "1", False)
     assert first.count() > 0 and first.schema == schemas.GOLD
     assert {r.model_type for r in first.select("model_type").distinct().collect()} == {"Staging"}
     assert first.filter("yhat IS NULL OR model_res IS NULL").count() == 0
     # The same model again is no better, so nothing changes; forced, it goes live beside the staged one.
-    again = publish(spark, lake, status, "1", "2", False)
+    again = publish(spark, sf, lake, status, "1", "2", False)
     assert again.exceptAll(first).count() == 0 and again.count() == first.count()
-    live = publish(spark, lake, status, "2", "3", True)
+    live = publish(spark, sf, lake, status, "2", "3", True)
     assert live.count() == 2 * first.count()
     versions = tables.read_table(spark, lake, "gold", "model_registry", "3")
     kinds = {r.stage: r["count"] for r in versions.groupBy("stage").count().collect()}
@@ -70,10 +71,12 @@ def test_publish_twice(spark, sf, lake, status):
     view = stages.station_view(
         live,
         status,
+        given.live_weather(spark, sf),
         given.station_info(spark, sf).withColumn("station_id", F.col("station_id").cast("string")),
         given.AS_OF,
     )
     assert view["status"].count() > 0
+    assert view["weather"].columns == schemas.LIVE_WEATHER
     unknown = (F.col("level_state").isNull()) != F.col("num_bikes_available").isNull()
     assert view["forecast"].filter(unknown).count() == 0
 
