@@ -19,6 +19,7 @@ from .tables import (
     SPLIT,
     trips,
     using,
+    weather,
     weather_once,
 )
 
@@ -38,9 +39,9 @@ def flows(spark, sf):
 def frames(spark, sf):
     """Training rows, holdout rows and cut-offs over stored hourly tables."""
     flows = store(flow.net_flow(trips(spark, sf)), "flow")
-    weather = store(weather_once(spark, sf), "weather")
+    once = store(weather_once(spark, sf), "weather")
     status = store(levels(spark, sf), "levels")
-    return stages.frames(flows, weather, weather, status, SPLIT, HORIZON_HOURS)
+    return stages.frames(flows, once, once, status, SPLIT, HORIZON_HOURS)
 
 
 def folds(rows):
@@ -69,6 +70,20 @@ def flow_panel(spark, sf):
     return flows(spark, sf)
 
 
+@query(using("trips weather", """
+    SELECT DISTINCT 5 AS station_id, w.ts_hour AS ds,
+           CAST(sum(CASE WHEN start_station_id = 5 THEN -1 WHEN end_station_id = 5 THEN 1 ELSE 0 END)
+                OVER (PARTITION BY w.ts_hour) AS DOUBLE) AS y,
+           temp, wind_speed, CAST(humidity AS DOUBLE) AS humidity,
+           CAST(hour(w.ts_hour) AS DOUBLE) AS hour
+    FROM weather w LEFT JOIN trips t ON w.ts_hour = t.ts_hour"""))
+def single_station_panel(spark, sf):
+    """Panel of one station by the rule that counts a trip in the hour it began."""
+    hourly = flow.net_flow_single(weather(spark, sf), trips(spark, sf), 5)
+    rows = hourly.withColumn("station_id", F.lit(5))
+    return ops.panel(rows, "net_bike_change").distinct()
+
+
 @query(using("train", "SELECT * FROM train"))
 def training_frame(spark, sf):
     return frames(spark, sf)[0]

@@ -266,8 +266,8 @@ def _series_fitter(sets, regressors, horizon, z, k):
             angle = 2 * np.pi * np.outer(t, np.arange(1, order + 1)) / length
             return np.hstack([np.sin(angle), np.cos(angle)])
 
-        def solve(x, y, penalty):
-            return np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ y)
+        def solve(gram, rhs, penalty):
+            return np.linalg.solve(gram + np.diag(penalty), rhs)
 
         parts = []
         for fold, cutoff in zip(cuts["fold"], cuts["cutoff"].to_numpy("datetime64[s]")):
@@ -297,28 +297,29 @@ def _series_fitter(sets, regressors, horizon, z, k):
                 return np.hstack(used) if used else np.zeros((len(d), 0))
 
             g_x, s_x = trend(t), season(t)
-            r_x = (x_all[train] - mean) / sd
-            g_new, s_new = trend(day[test]), season(day[test])
-            r_new = (x_all[test] - mean) / sd
+            z_x = np.hstack([s_x, (x_all[train] - mean) / sd])
+            g_new = trend(day[test])
+            z_new = np.hstack([season(day[test]), (x_all[test] - mean) / sd])
+            x, x_new, target = np.hstack([g_x, z_x]), np.hstack([g_new, z_new]), y / scale
+            # One product over the history serves every parameter set.
+            gram, rhs, m = x.T @ x, x.T @ target, g_x.shape[1]
             for p in sets:
                 slope = np.r_[0.04, 0.04, np.full(25, p["changepoint_prior_scale"] ** -2.0)]
                 other = np.r_[
                     np.full(s_x.shape[1], p["seasonality_prior_scale"] ** -2.0),
-                    np.full(r_x.shape[1], 0.01),
+                    np.full(len(regressors), 0.01),
                 ]
-                z_x, z_new = np.hstack([s_x, r_x]), np.hstack([s_new, r_new])
                 if p["seasonality_mode"] == "additive":
-                    b = solve(np.hstack([g_x, z_x]), y / scale, np.r_[slope, other])
-                    fitted = np.hstack([g_x, z_x]) @ b
-                    ahead = np.hstack([g_new, z_new]) @ b
+                    b = solve(gram, rhs, np.r_[slope, other])
+                    fitted, ahead = x @ b, x_new @ b
                 else:
                     # y = g (1 + z b) is linear in b once the trend g is known.
-                    a = solve(g_x, y / scale, slope)
+                    a = solve(gram[:m, :m], rhs[:m], slope)
                     g, g_ahead = g_x @ a, g_new @ a
-                    b = solve(g[:, None] * z_x, y / scale - g, other)
-                    fitted = g * (1 + z_x @ b)
-                    ahead = g_ahead * (1 + z_new @ b)
-                spread = z * scale * np.std(y / scale - fitted)
+                    gz = g[:, None] * z_x
+                    b = solve(gz.T @ gz, gz.T @ (target - g), other)
+                    fitted, ahead = g * (1 + z_x @ b), g_ahead * (1 + z_new @ b)
+                spread = z * scale * np.std(target - fitted)
                 yhat = scale * ahead
                 part = pd.DataFrame(
                     {
@@ -349,7 +350,8 @@ def forecast_metrics(forecasts: DataFrame, k: Sequence[str]) -> DataFrame:
     """mse, rmse, mae, mdape, smape and coverage per key over the whole horizon.
 
     Rows with ``y = 0`` have no percentage error and are left out of ``mdape``;
-    a row with ``y = yhat = 0`` has a symmetric error of 0.
+    a row with ``y = yhat = 0`` has a symmetric error of 0. ``k`` should include the
+    series: the exact median holds one key's values, which the calendar then bounds.
     """
     y, yhat = F.col("y"), F.col("yhat")
     error = y - yhat
