@@ -246,6 +246,11 @@ def drop_duplicates(spark, sf):
     return quality.drop_duplicates(_gappy(spark, sf))
 
 
+@query(using("", "SELECT DISTINCT * FROM gappy", once=_GAPPY, gappy=_GAPPY_ALL))
+def drop_copies(spark, sf):
+    return quality.drop_copies(_gappy(spark, sf))
+
+
 @query(using("trips", """
     SELECT ride_id, ts_hour, row_number() OVER (
                PARTITION BY ts_hour ORDER BY started_at, ride_id) > 1 AS is_repeat

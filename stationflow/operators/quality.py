@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import join_small
+from ..sources.tables import store
+from .joins import BROADCAST_ROWS, fits_broadcast, join_small
 
 
 def column_modes(
@@ -63,6 +64,29 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def drop_copies(df: DataFrame, max_repeated: int = BROADCAST_ROWS) -> DataFrame:
+    """:func:`drop_duplicates` for tables whose rows are mostly unique.
+
+    Only a hash of each row is shuffled to find those that may occur twice. Rows
+    whose hash occurs once pass where they are; the others are compared in full.
+    With more than ``max_repeated`` such hashes the plain way is the cheaper one.
+    """
+    # Adding 0 makes -0.0 hash as the 0.0 it equals.
+    whole = [
+        F.col(c) + F.lit(0.0).cast(kind) if kind in ("float", "double") else F.col(c)
+        for c, kind in df.dtypes
+    ]
+    row = F.xxhash64(*whole).alias("_row")
+    counts = df.select(row).groupBy("_row").count()
+    repeated = store(counts.filter("count > 1").select("_row"), "repeated")
+    if not fits_broadcast(repeated, max_repeated):
+        return drop_duplicates(df)
+    rows, repeated = df.select("*", row), F.broadcast(repeated)
+    once = rows.join(repeated, "_row", "left_anti").drop("_row")
+    several = rows.join(repeated, "_row", "left_semi").drop("_row")
+    return once.unionByName(drop_duplicates(several))
+
+
 def mark_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Adds ``is_repeat``: false on the first row of each key in ``order``, else true.
 

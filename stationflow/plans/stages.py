@@ -88,9 +88,9 @@ def clean_trips(
             trips = trips.filter(here <= month if late else here >= month)
     trips = trips.drop("start_month")
     if impute == "*" or "started_at" in impute:
-        return quality.drop_duplicates(quality.impute_mode(with_hour(trips), impute))
-    # Hour and date parts follow from the row: added last, they stay out of the shuffle.
-    return with_hour(quality.drop_duplicates(quality.impute_mode(trips, impute)))
+        return quality.drop_copies(quality.impute_mode(with_hour(trips), impute))
+    # Hour and date parts follow from the row, so they are added last.
+    return with_hour(quality.drop_copies(quality.impute_mode(trips, impute)))
 
 
 def with_hour(trips: DataFrame) -> DataFrame:

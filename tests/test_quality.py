@@ -73,6 +73,22 @@ def test_duplicates(repeats):
     assert quality.drop_duplicates(repeats).count() == 5
 
 
+@pytest.mark.parametrize("limit", [100, 0])
+def test_copies_are_the_duplicates(spark, repeats, limit):
+    assert sorted(map(str, quality.drop_copies(repeats, limit).collect())) == sorted(
+        map(str, quality.drop_duplicates(repeats).collect())
+    )
+    # Equal to a comparison, though not bit by bit; and NULLs in different places.
+    rows = [(0.0, None, "a"), (-0.0, None, "a"), (0.0, "a", None), (float("nan"), "x", "y")] * 2
+    df = spark.createDataFrame(rows, "x double, a string, b string")
+    assert quality.drop_copies(df, limit).count() == 3
+
+
+def test_unique_rows_are_not_shuffled_whole(spark, repeats):
+    plan = quality.drop_copies(repeats)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "Union" in plan
+
+
 def test_keep_first_and_marks_agree(repeats):
     rows = repeats.distinct()
     first = quality.keep_first(rows, ["date", "time"], ["n"])
