@@ -51,6 +51,7 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
     )
     hourly = (
         load(spark, sf, "events")
+        .filter(F.hour("ts") != 3)
         .groupBy(hour.alias("ts_hour"))
         .agg(
             F.max("value").alias("temp"),
@@ -58,7 +59,6 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
             F.count(F.lit(1)).cast("int").alias("humidity"),
             (F.min("event_id") % 5).alias("kind"),
         )
-        .filter(F.hour("ts_hour") != 3)
     )
     reports = F.when(
         F.hour("ts_hour") == 17, F.array(main, F.lit("Mist"))
