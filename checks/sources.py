@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from stationflow.plans import stages
 from stationflow.sources import schemas, tables
-from stationflow.streaming.ingest import drain, stream_csv
 
 from .registry import query
 from .tables import live_weather as given_live

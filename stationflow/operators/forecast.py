@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import wall_clock_literal
 from .flow import level_to_flow
 
 DAY = 86_400

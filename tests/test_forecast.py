@@ -38,7 +38,8 @@ def series(spark, days, fn, station="A", noise=0.0):
         "station_id string, ds timestamp_ntz, temp double, wind_speed double, "
         "humidity double, hour double, y double"
     )
-    return spark.createDataFrame(pdf[["station_id", "ds", "temp", "wind_speed", "humidity", "hour", "y"]], schema)
+    columns = ["station_id", "ds", "temp", "wind_speed", "humidity", "hour", "y"]
+    return spark.createDataFrame(pdf[columns], schema)
 
 
 def daily(pdf):
@@ -104,7 +105,9 @@ def test_stations_are_fitted_apart_and_short_ones_give_nothing(spark):
 
 def test_forecast_after_one_cutoff_runs_to_the_end(spark):
     rows = series(spark, 20, daily)
-    cut = spark.createDataFrame([("A", 0, T0 + dt.timedelta(days=18))], "station_id string, fold int, cutoff timestamp_ntz")
+    cut = spark.createDataFrame(
+        [("A", 0, T0 + dt.timedelta(days=18))], "station_id string, fold int, cutoff timestamp_ntz"
+    )
     got = forecast.fit_predict(rows, cut, forecast.PARAM_GRID)
     assert got.count() == 8 * (2 * 24 - 1)
     assert got.select("param_id").distinct().count() == 8
@@ -142,7 +145,8 @@ def test_mean_backtest_equals_a_loop_over_folds(spark):
 
 def test_errors_with_zeros(spark):
     rows = [("A", 0.0, 0.0, -1.0, 1.0), ("A", 0.0, 1.0, 0.5, 2.0), ("A", 2.0, 1.0, 0.0, 2.0)]
-    df = spark.createDataFrame(rows, "s string, y double, yhat double, yhat_lower double, yhat_upper double")
+    schema = "s string, y double, yhat double, yhat_lower double, yhat_upper double"
+    df = spark.createDataFrame(rows, schema)
     [row] = forecast.forecast_metrics(df, ["s"]).collect()
     assert row.mse == pytest.approx(2 / 3) and row.rmse == pytest.approx(math.sqrt(2 / 3))
     assert row.mae == pytest.approx(2 / 3) and row.mdape == 0.5
@@ -159,31 +163,39 @@ def test_grid_order_and_ties(spark):
         "seasonality_mode": "additive",
     }
     grid = forecast.param_grid(spark.createDataFrame([("A",), ("B",)], "station_id string"))
-    assert grid.count() == 16 and grid.filter("param_id = 8 AND seasonality_mode = 'multiplicative'").count() == 2
+    assert grid.count() == 16
+    assert grid.filter("param_id = 8 AND seasonality_mode = 'multiplicative'").count() == 2
     rows = [("A", 3, 1.0), ("A", 2, 1.0), ("A", 1, None), ("B", 5, 9.0)]
-    best = forecast.select_best(spark.createDataFrame(rows, "station_id string, param_id int, mae double"))
+    maes = spark.createDataFrame(rows, "station_id string, param_id int, mae double")
+    best = forecast.select_best(maes)
     assert {r.station_id: r.param_id for r in best.collect()} == {"A": 2, "B": 5}
 
 
 @pytest.fixture
 def recent(spark):
-    rows = [("A", T0 + dt.timedelta(hours=i), 1.0, v) for i, v in enumerate([1.0, 4.0, 9.0, 16.0, 25.0])]
-    return spark.createDataFrame(rows, "station_id string, ts_hour timestamp_ntz, temp double, num_bikes_available double").withColumns(
+    levels = [1.0, 4.0, 9.0, 16.0, 25.0]
+    rows = [("A", T0 + dt.timedelta(hours=i), 1.0, v) for i, v in enumerate(levels)]
+    schema = "station_id string, ts_hour timestamp_ntz, temp double, num_bikes_available double"
+    return spark.createDataFrame(rows, schema).withColumns(
         {"wind_speed": F.lit("2.5"), "humidity": F.lit(7)}
     )
 
 
 @pytest.fixture
 def cutoffs(spark):
-    return spark.createDataFrame([("A", T0 + dt.timedelta(hours=2))], "station_id string, cutoff timestamp_ntz")
+    schema = "station_id string, cutoff timestamp_ntz"
+    return spark.createDataFrame([("A", T0 + dt.timedelta(hours=2))], schema)
+
+
+FLOWS = (
+    "station_id string, ts_hour timestamp_ntz, net_flow int, temp double, "
+    "wind_speed double, humidity int"
+)
 
 
 def test_frames_split_at_the_cutoff(spark, recent, cutoffs):
-    history = forecast.panel(
-        spark.createDataFrame([("A", T0 - dt.timedelta(hours=1), 4, 1.0, 1.0, 1)],
-                              "station_id string, ts_hour timestamp_ntz, net_flow int, temp double, wind_speed double, humidity int"),
-        "net_flow",
-    )
+    before = [("A", T0 - dt.timedelta(hours=1), 4, 1.0, 1.0, 1)]
+    history = forecast.panel(spark.createDataFrame(before, FLOWS), "net_flow")
     train = forecast.training_frame(history, recent, cutoffs, T0.date()).orderBy("ds").collect()
     assert [r.y for r in train] == [4.0, 0.0, 3.0, 5.0]
     assert train[1].wind_speed == 2.5 and train[1].hour == 0.0
@@ -194,10 +206,7 @@ def test_frames_split_at_the_cutoff(spark, recent, cutoffs):
 
 
 def test_empty_history(spark, recent, cutoffs):
-    empty = forecast.panel(
-        spark.createDataFrame([], "station_id string, ts_hour timestamp_ntz, net_flow int, temp double, wind_speed double, humidity int"),
-        "net_flow",
-    )
+    empty = forecast.panel(spark.createDataFrame([], FLOWS), "net_flow")
     assert forecast.training_frame(empty, recent, cutoffs, T0.date()).count() == 3
 
 

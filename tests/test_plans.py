@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 import pytest
 
 import __spark_entry__ as entry
+from stationflow.operators import serving
 
 QUERIES = entry.queries()
 FITTED = {"fit_predict", "tuned_parameters"}
@@ -68,6 +70,19 @@ def test_filters_reach_the_scan(spark, sf):
     assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThanOrEqual(o_orde" in pushed
 
 
+def test_status_time_and_station_reach_the_scan(spark, tmp_path):
+    spark.range(9).selectExpr(
+        "cast(id as string) AS station_id", "id AS last_reported",
+        "1 AS num_bikes_available", "1 AS num_docks_available",
+    ).write.parquet(str(tmp_path / "s"))
+    status = spark.read.parquet(str(tmp_path / "s")).filter("station_id = '3'")
+    latest = serving.latest_status(status, dt.datetime(1970, 1, 1, 0, 0, 5))
+    [line] = scans(plan_of(latest))[-1:]
+    pushed = line[line.index("PushedFilters") :]
+    assert "IsNotNull(last_reported)" in pushed and "IsNotNull(station_id)" in pushed
+    assert [r.station_id for r in latest.collect()] == ["3"]
+
+
 def test_top_k_does_not_sort_everything(spark, sf):
     plan = plan_of(QUERIES["top_end_stations"](spark, sf))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stationflow.operators import quality
@@ -32,6 +35,29 @@ def test_mode_ignores_null_and_breaks_ties_low(gaps):
     assert filled[4].d == dt.date(2022, 1, 1)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.sampled_from("abc") | st.none(), st.integers(0, 2) | st.none()),
+        min_size=1,
+        max_size=25,
+    ),
+    st.booleans(),
+)
+def test_modes_equal_counting_by_hand(spark, rows, null_competes):
+    got = quality.column_modes(
+        spark.createDataFrame(rows, "s string, n int"), ["s", "n"], null_competes
+    ).first()
+    for i, name in enumerate(("s", "n")):
+        counts = Counter(r[i] for r in rows if null_competes or r[i] is not None)
+        want = None
+        if counts:
+            most = max(counts.values())
+            tied = [v for v, c in counts.items() if c == most]
+            want = None if None in tied else min(tied)
+        assert got[name] == want
+
+
 def test_null_may_win_when_it_competes(gaps):
     filled = quality.impute_mode(gaps, "*", null_competes=True).orderBy("id").collect()
     assert [r.sparse for r in filled] == [None, None, None, "x", None]

@@ -9,6 +9,8 @@ from stationflow.sources import schemas
 from stationflow.sources.tables import empty_table
 
 T0 = dt.datetime(2023, 4, 1, 10)
+PLACED = "station_id string, stage string, mae double"
+STATUS = "station_id string, last_reported long, num_bikes_available int, num_docks_available int"
 
 
 def reg(spark, *rows):
@@ -31,7 +33,12 @@ def test_first_model_must_beat_the_default(spark):
 
 
 def test_better_and_worse_than_staging(spark):
-    old = reg(spark, ("A", 1, "Production", 1.0, 1), ("A", 2, "Staging", 3.0, 2), ("B", 7, "Staging", 0.1, 1))
+    old = reg(
+        spark,
+        ("A", 1, "Production", 1.0, 1),
+        ("A", 2, "Staging", 3.0, 2),
+        ("B", 7, "Staging", 0.1, 1),
+    )
     better = registry.promote(old, candidate(spark, 2.0))
     assert stages(better) == {
         ("A", 1): "Production", ("A", 2): "Archived", ("A", 3): "Staging", ("B", 7): "Staging",
@@ -54,7 +61,8 @@ def gold(spark, *rows):
 def results(spark, yhat=2.6):
     return spark.createDataFrame(
         [("A", T0, 1.0, yhat, yhat - 1.0, 5.0)],
-        "station_id string, ds timestamp_ntz, y double, yhat double, residual double, num_bikes_available double",
+        "station_id string, ds timestamp_ntz, y double, yhat double, residual double, "
+        "num_bikes_available double",
     )
 
 
@@ -68,7 +76,7 @@ def results(spark, yhat=2.6):
 )
 def test_publishing_replaces_one_stage_of_one_station(spark, stage, left):
     old = gold(spark, ("A", "Production", 1.0), ("A", "Staging", 2.0), ("B", "Staging", 3.0))
-    placed = spark.createDataFrame([("A", stage, 0.5)], "station_id string, stage string, mae double")
+    placed = spark.createDataFrame([("A", stage, 0.5)], PLACED)
     new = registry.publish_gold(old, results(spark), placed)
     assert new.columns == schemas.GOLD.names
     rows = sorted((r.station_id, r.model_type, r.num_bikes_available) for r in new.collect())
@@ -78,8 +86,9 @@ def test_publishing_replaces_one_stage_of_one_station(spark, stage, left):
 
 
 def test_publishing_into_an_empty_table(spark):
-    placed = spark.createDataFrame([("A", "Staging", 0.5)], "station_id string, stage string, mae double")
-    assert registry.publish_gold(empty_table(spark, schemas.GOLD), results(spark), placed).count() == 1
+    placed = spark.createDataFrame([("A", "Staging", 0.5)], PLACED)
+    gold = empty_table(spark, schemas.GOLD)
+    assert registry.publish_gold(gold, results(spark), placed).count() == 1
 
 
 @pytest.fixture
@@ -92,9 +101,7 @@ def status(spark):
         ("B", base + 600, None, 5),
         ("C", base + 3600, 4, 4),
     ]
-    return spark.createDataFrame(
-        rows, "station_id string, last_reported long, num_bikes_available int, num_docks_available int"
-    )
+    return spark.createDataFrame(rows, STATUS)
 
 
 def test_latest_status_at_before_and_after(status):
@@ -104,8 +111,8 @@ def test_latest_status_at_before_and_after(status):
     assert got["A"].last_reported == as_of
     assert (got["B"].num_bikes_available, got["B"].num_docks_available) == (None, 5)
     assert "C" not in got
-    strict = {r.station_id: r.num_bikes_available for r in serving.latest_status(status, as_of, strict_hour=True).collect()}
-    assert strict == {"A": 1}
+    strict = serving.latest_status(status, as_of, strict_hour=True).collect()
+    assert {r.station_id: r.num_bikes_available for r in strict} == {"A": 1}
 
 
 def test_latest_status_in_another_zone_and_from_text(status):
@@ -118,24 +125,23 @@ def test_latest_status_in_another_zone_and_from_text(status):
 
 def test_same_second_reports_give_one_whole_row(spark):
     rows = [("A", 100, i, 40 - i) for i in range(20)]
-    df = spark.createDataFrame(
-        rows, "station_id string, last_reported long, num_bikes_available int, num_docks_available int"
-    ).repartition(7)
+    df = spark.createDataFrame(rows, STATUS).repartition(7)
     seen = {tuple(serving.latest_status(df, T0).first()) for _ in range(3)}
     [row] = seen
     assert row[2] + row[3] == 40
 
 
 def test_levels_and_capacity(spark):
-    rows = [("A", T0 + dt.timedelta(hours=i), y, "Staging", 10.0 + i) for i, y in enumerate([3.0, -5.0, 9.0])]
+    hours = [T0 + dt.timedelta(hours=i) for i in range(3)]
+    rows = [("A", hours[i], y, "Staging", 10.0 + i) for i, y in enumerate([3.0, -5.0, 9.0])]
     rows += [("B", T0, None, "Staging", 1.0), ("Z", T0, 1.0, "Staging", 1.0)]
     df = spark.createDataFrame(
         rows, "station_id string, ds timestamp_ntz, yhat double, model_type string, num_bikes_available double"
     )
     info = spark.createDataFrame([("A", 13), ("B", 5)], "station_id string, capacity int")
     plain = serving.capacity_breach(serving.forecast_level(df), info)
-    got = [(r.station_id, r.available_bikes, r.level_state) for r in plain.orderBy("station_id", "ds").collect()]
-    assert got == [
+    shown = plain.orderBy("station_id", "ds").collect()
+    assert [(r.station_id, r.available_bikes, r.level_state) for r in shown] == [
         ("A", 13.0, "full"), ("A", 6.0, "ok"), ("A", 21.0, "full"), ("B", None, None), ("Z", 2.0, None),
     ]
     known = spark.createDataFrame([("A", 2)], "station_id string, num_bikes_available int")
@@ -146,6 +152,7 @@ def test_levels_and_capacity(spark):
 
 
 def test_current_weather(spark):
-    df = spark.createDataFrame([(T0, 1.0), (T0 + dt.timedelta(hours=1), 2.0)], "ts_hour timestamp_ntz, temp double")
+    rows = [(T0, 1.0), (T0 + dt.timedelta(hours=1), 2.0)]
+    df = spark.createDataFrame(rows, "ts_hour timestamp_ntz, temp double")
     [row] = serving.current_weather(df, T0 + dt.timedelta(minutes=59), ["temp"]).collect()
     assert row.temp == 1.0

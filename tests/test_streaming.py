@@ -37,7 +37,8 @@ def trips(*changes):
 
 def test_stream_equals_batch_and_reruns_add_nothing(spark, tmp_path):
     source, root = tmp_path / "drop", str(tmp_path / "lake")
-    drop(source, "1.csv", schemas.TRIPS.names, trips({}, {"ride_id": "r2", "started_at": "2022-02-01 07:00:00"}))
+    later = {"ride_id": "r2", "started_at": "2022-02-01 07:00:00"}
+    drop(source, "1.csv", schemas.TRIPS.names, trips({}, later))
     assert stages.ingest_trips(spark, str(source), root).count() == 2
     drop(source, "2.csv", schemas.TRIPS.names, trips({"ride_id": "r3", "member_casual": ""}))
     stored = stages.ingest_trips(spark, str(source), root)
