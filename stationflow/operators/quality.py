@@ -36,15 +36,19 @@ def column_modes(
 
 
 def impute_mode(
-    df: DataFrame, cols: Sequence[str] | str, null_competes: bool = False
+    df: DataFrame,
+    cols: Sequence[str] | str,
+    null_competes: bool = False,
+    modes: DataFrame | None = None,
 ) -> DataFrame:
     """Replaces NULL by the column's most frequent value.
 
     ``cols="*"`` fills every column, identifiers included. With ``null_competes``
-    a column that is mostly NULL keeps its NULLs.
+    a column that is mostly NULL keeps its NULLs. ``modes`` takes a stored
+    :func:`column_modes`, for a result that several queries read.
     """
     cols = df.columns if cols == "*" else list(cols)
-    modes = column_modes(df, cols, null_competes)
+    modes = column_modes(df, cols, null_competes) if modes is None else modes
     row = modes.select(F.struct(*cols).alias("modes")).scalar()
     return df.withColumns({c: F.coalesce(F.col(c), row.getField(c)) for c in cols})
 
@@ -91,10 +95,10 @@ def mark_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     """Adds ``is_repeat``: false on the first row of each key in ``order``, else true.
 
     ``order`` must tell the rows of a key apart. The first rows are found by an
-    aggregate and joined back, so no task sorts a hot key.
+    aggregate, stored, and joined back, so no task sorts a hot key.
     """
     keys, order = list(keys), list(order)
-    first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
+    first = store(df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first")), "first")
     marked = join_small(df, first, keys, "left", null_safe=True)
     return marked.withColumn("is_repeat", F.struct(*order) > F.col("_first")).drop("_first")
 

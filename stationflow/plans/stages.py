@@ -23,7 +23,14 @@ from ..functions.timeparts import (
 )
 from ..operators import flow, forecast, quality, registry, serving
 from ..sources import schemas
-from ..sources.tables import checkpoint_path, empty_table, read_table, table_path, write_table
+from ..sources.tables import (
+    checkpoint_path,
+    empty_table,
+    read_table,
+    store,
+    table_path,
+    write_table,
+)
 from ..streaming.ingest import drain, stream_csv
 
 # Columns that may be filled by their most frequent value without inventing
@@ -87,10 +94,14 @@ def clean_trips(
             here = F.col("start_month")
             trips = trips.filter(here <= month if late else here >= month)
     trips = trips.drop("start_month")
-    if impute == "*" or "started_at" in impute:
-        return quality.drop_copies(quality.impute_mode(with_hour(trips), impute))
-    # Hour and date parts follow from the row, so they are added last.
-    return with_hour(quality.drop_copies(quality.impute_mode(trips, impute)))
+    # Hour and date parts follow from the row, so they are added last where they can be.
+    early = impute == "*" or "started_at" in impute
+    trips = with_hour(trips) if early else trips
+    filled = trips.columns if impute == "*" else list(impute)
+    # Stored, as the search for copies and the result both read the filled rows.
+    modes = store(quality.column_modes(trips, filled), "modes")
+    trips = quality.drop_copies(quality.impute_mode(trips, filled, modes=modes))
+    return trips if early else with_hour(trips)
 
 
 def with_hour(trips: DataFrame) -> DataFrame:
@@ -282,6 +293,8 @@ def train_and_publish(
     The frames and the tuning result are stored, which keeps the later plans short
     and lets a lost executor recompute from them.
     """
+    if run == previous_run:
+        raise ValueError("a run cannot overwrite the run it reads")
     hourly_tables(spark, root, status, live_weather, run, zone)
     names = ("flow_hourly", "weather_hourly", "live_weather_hourly", "status_hourly")
     hourly = [read_table(spark, root, "silver", name, run) for name in names]

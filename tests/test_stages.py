@@ -56,6 +56,8 @@ def test_silver_tables(spark, sf, lake):
 
 def test_publish_twice(spark, sf, lake, status):
     stages.create_gold(spark, lake)
+    with pytest.raises(ValueError):
+        publish(spark, sf, lake, status, "0", "0", False)
     first = publish(spark, sf, lake, status, "0", "1", False)
     assert first.count() > 0 and first.schema == schemas.GOLD
     assert {r.model_type for r in first.select("model_type").distinct().collect()} == {"Staging"}
