@@ -85,10 +85,15 @@ def dow_by_member(
     member: str = "member_casual",
     values: Sequence[str] = ("member", "casual"),
 ) -> DataFrame:
-    """Trips per day of the week, one column per member type, Sunday first."""
+    """Trips per day of the week, one column per member type, Sunday first.
+
+    Days are named after the aggregate, seven times rather than once per trip.
+    """
+    sunday = F.lit("1970-01-04").cast("date")
     return (
-        df.groupBy(F.dayofweek(ts).alias("dow"), day_name(ts).alias("day"))
+        df.groupBy(F.dayofweek(ts).alias("dow"))
         .agg(*_count_columns(member, values))
+        .withColumn("day", day_name(F.date_add(sunday, F.col("dow") - 1)))
         .orderBy("dow")
     )
 

@@ -77,3 +77,12 @@ def test_as_of_hour_drops_minutes_and_zone():
     now = dt.datetime(2023, 5, 1, 2, 45, 10, tzinfo=dt.timezone.utc)
     assert timeparts.as_of_hour(now) == dt.datetime(2023, 4, 30, 22)
     assert timeparts.as_of_hour().minute == 0
+
+
+def test_days_of_the_week_are_named_and_unknown_days_kept(spark):
+    from stationflow.operators.trends import dow_by_member
+
+    rows = [(dt.datetime(2022, 1, 2, 5), "member"), (dt.datetime(2022, 1, 8), "casual"), (None, "member")]
+    df = spark.createDataFrame(rows, "started_at timestamp_ntz, member_casual string")
+    got = [(r.day, r.member, r.casual) for r in dow_by_member(df).collect()]
+    assert got == [(None, 1, None), ("Sunday", 1, None), ("Saturday", None, 1)]
