@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
+# Hourly rows of some 22 years; tens of megabytes even with every weather column.
+BROADCAST_ROWS = 200_000
 SALTS = 64
 
 
