@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import mixing
+from stationflow.llm import decontam, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,3 +72,44 @@ def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+
+@query(
+    r"""
+    WITH words AS (
+        SELECT doc_id, row_number() OVER () AS r,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    items AS (
+        SELECT item_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, array_to_string(w[i + 1:i + 10], ' ') AS phrase, least(len(w), 10) AS n
+        FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 10, 0) + 1)) AS i FROM items WHERE len(w) > 0)),
+    lengths AS (SELECT DISTINCT n FROM windows),
+    grams AS (
+        SELECT r, i, n, array_to_string(w[i + 1:i + n], ' ') AS phrase
+        FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS i FROM words, lengths WHERE len(w) >= n)),
+    hits AS (SELECT r, i, g.n, item_id FROM grams g JOIN windows x ON g.phrase = x.phrase AND g.n = x.n),
+    covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+    named AS (
+        SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM words LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+    """
+)
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of each document inside a ten-word window of a benchmark item."""
+    found = decontam.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
