@@ -64,21 +64,30 @@ def rarest_terms(rows: DataFrame, ids: DataFrame) -> DataFrame:
 def candidates(postings: DataFrame, rare: DataFrame, slop: int) -> DataFrame:
     """``k1, k2, wid, start``: where a window may start, by its two rarest posting lists.
 
-    Both lists are shifted by the terms' offsets; the second is widened by
-    ``slop`` positions, so that the intersection is one equality join.
+    Both lists are shifted by the terms' offsets. They meet in bins of positions,
+    so that the intersection within ``slop`` is an equality join; a posting near
+    the end of a bin is in the next one too.
     """
+    width = 8 * max(slop, 1)
     first = postings.join(rare, F.col("term") == F.col("r1")).select(
         "k1", "k2", "wid", "r2", (F.col("pos") - F.col("o1")).alias("start")
     )
-    near = F.explode(F.sequence(F.lit(-slop), F.lit(slop)))
+    bin_of = lambda c: F.floor(c / width)
     second = (
         postings.join(rare, F.col("term") == F.col("r2"))
-        .select("k1", "k2", "wid", (F.col("pos") - F.col("o2")).alias("at"), near.alias("d"))
-        .select("k1", "k2", "wid", (F.col("at") + F.col("d")).alias("start"))
-        .distinct()
+        .select("k1", "k2", "wid", (F.col("pos") - F.col("o2")).alias("at"))
+        .withColumn("bin", F.explode(F.array_distinct(F.array(
+            bin_of(F.col("at") - slop), bin_of(F.col("at") + slop)
+        ))))
     )
     alone = first.filter("r2 IS NULL").drop("r2")
-    both = first.filter("r2 IS NOT NULL").drop("r2").join(second, ["k1", "k2", "wid", "start"])
+    both = (
+        first.filter("r2 IS NOT NULL")
+        .withColumn("bin", bin_of(F.col("start")))
+        .join(second, ["k1", "k2", "wid", "bin"])
+        .filter(F.abs(F.col("start") - F.col("at")) <= slop)
+        .select("k1", "k2", "wid", "start")
+    )
     return alone.unionByName(both).distinct()
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import decontam, mixing
+from stationflow.llm import decontam, mixing, secrets, urls
+from stationflow.llm.shared import span_list
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,3 +114,71 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+_CERTAIN = [k for k, v in secrets.KINDS.items() if v[4]]
+
+
+@query()
+def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets of each document, and weak parts of credentials that occur together."""
+    found = secrets.scan(table(spark, sf, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    certain = F.filter("spans", lambda s: s["sure"])
+    return found.select(
+        "doc_id",
+        *[of(k).alias(f"n_{k}") for k in _CERTAIN],
+        F.sha2(span_list(certain), 256).alias("base_sha256"),
+        span_list(F.col("spans")).alias("spans"),
+    )
+
+
+# The rules of the URL query: fixed values.
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
+
+@query(
+    r"""
+    WITH RECURSIVE named AS (
+        SELECT page_id, url, html,
+               translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path,
+               regexp_replace(url, '#.*$', '', 's') AS node
+        FROM pages),
+    tags AS (
+        SELECT node AS u, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*>')) AS tag FROM named),
+    edges AS (
+        SELECT DISTINCT u, v FROM (
+            SELECT u, regexp_extract(tag, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS v FROM tags WHERE regexp_matches(tag, '(?i)canonical')
+            UNION ALL
+            SELECT u, regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) FROM tags WHERE regexp_matches(tag, '(?i)http-equiv.*refresh'))
+        WHERE v <> ''),
+    sides AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges),
+    reach AS (SELECT u, u AS v FROM sides UNION SELECT r.u, s.v FROM reach r JOIN sides s ON r.v = s.u),
+    places AS (
+        SELECT u, translate(regexp_extract(v, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(v, '://[^/?#]*([^?#]*)', 1) AS path FROM reach),
+    rules(rule, rule_host, rule_path, verdict) AS (VALUES
+        ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+        ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+        ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+    ruled AS (
+        SELECT host, path, arg_max(rule, len(rule)) AS rule, arg_max(verdict, len(rule)) AS verdict
+        FROM (SELECT DISTINCT host, path FROM (SELECT host, path FROM named UNION SELECT host, path FROM places)) p
+        JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        GROUP BY host, path),
+    classes AS (SELECT u AS node, min(verdict) AS verdict FROM places LEFT JOIN ruled USING (host, path) GROUP BY u)
+    SELECT page_id, host, path, rule, coalesce(r.verdict, c.verdict, 'allow') AS verdict,
+           (SELECT min(v) FROM reach x WHERE x.u = n.node) AS alias_of
+    FROM named n LEFT JOIN ruled r USING (host, path) LEFT JOIN classes c USING (node)
+    """
+)
+def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdict on every page by rules and redirect classes."""
+    return urls.judge(table(spark, sf, "pages"), urls.rule_table(spark, URL_RULES))
