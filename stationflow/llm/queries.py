@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import decontam, mixing, secrets, urls
+from stationflow.llm import decontam, mixing, pii, secrets, simhash, toxicity, urls
 from stationflow.llm.shared import span_list
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,3 +182,53 @@ URL_RULES = (
 def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     """Verdict on every page by rules and redirect classes."""
     return urls.judge(table(spark, sf, "pages"), urls.rule_table(spark, URL_RULES))
+
+
+@query()
+def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint of each document and of its edited text, and rows near every hundredth one."""
+    found = simhash.fingerprints(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        simhash.hexed(F.col("f")).alias("fingerprint"),
+        simhash.hexed(F.col("edited_f")).alias("edited_fingerprint"),
+        simhash.likeness(F.col("f"), F.col("edited_f")).alias("near_edited"),
+        simhash.likeness(F.col("f"), F.col("next_f")).alias("near_next"),
+        "n_near",
+    )
+
+
+@query()
+def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data of each document."""
+    found = pii.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    of = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id",
+        *[of(k).alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(span_list(base), 256).alias("base_sha256"),
+        span_list(F.col("pii")).alias("spans"),
+    )
+
+
+def held_out(parts: int) -> Column:
+    """Whether the remainder of the id's checksum is 1; a NULL id is not held out."""
+    rest = F.crc32(F.col("doc_id").cast("string")) % parts
+    return F.coalesce(rest == 1, F.lit(False))
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of each document, learnt from labelled documents that are not held out."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    weights = toxicity.train(docs, table(spark, sf, "labels"), ~held_out(3))
+    scored = toxicity.score(docs, weights)
+    return scored.select(
+        "doc_id",
+        held_out(3).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
