@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import decontam, mixing, pii, secrets, simhash, toxicity, urls
+from stationflow.llm import decontam, jaccard, mixing, pii, secrets, simhash, toxicity, urls
 from stationflow.llm.shared import span_list
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,3 +232,10 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Classes of documents whose sets of four-word shingles are similar by 85 per cent."""
+    found = jaccard.classes(table(spark, sf, "documents"), n=4, percent=85)
+    return found.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
