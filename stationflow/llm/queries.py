@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import decontam, jaccard, mixing, pii, secrets, simhash, toxicity, urls
+from stationflow.llm import (
+    decontam,
+    jaccard,
+    mixing,
+    pii,
+    secrets,
+    simhash,
+    suffixes,
+    toxicity,
+    urls,
+)
 from stationflow.llm.shared import span_list
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,3 +249,16 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Classes of documents whose sets of four-word shingles are similar by 85 per cent."""
     found = jaccard.classes(table(spark, sf, "documents"), n=4, percent=85)
     return found.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
+
+
+@query()
+def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What stays of each document without strings of 200 bytes that start elsewhere too."""
+    found = suffixes.without_repeats(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
