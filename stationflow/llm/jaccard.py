@@ -312,12 +312,12 @@ def region_links(regions: DataFrame, packed: DataFrame, percent: int) -> DataFra
 def classes(
     docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Near-duplicate classes: ``doc_id, k1, k2, size, component_id``, one row per input row.
+    """Near-duplicate classes: ``doc_id, k1, k2, size, root, component_id``, one row per input row.
 
     A text's set holds its distinct runs of ``n`` words, A-Z lower-cased; a text
     of fewer words is one run. Two texts link if the intersection has at least
     ``percent`` per cent of the union. ``component_id`` is the smallest id that
-    links reach.
+    links reach; ``root`` names the component, also without ids.
 
     Equal sets are one class and are compared once. Every class elects pivots
     through its rarest shingles (the smallest class that has one of them is its
@@ -353,6 +353,6 @@ def classes(
     thin = store(thin.select("doc_id", "k1", "k2", "size", "root"), "class-rows")
     smallest = thin.filter("size > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     return thin.join(smallest, "root", "left").select(
-        "doc_id", "k1", "k2", "size",
+        "doc_id", "k1", "k2", "size", "root",
         F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )

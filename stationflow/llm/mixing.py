@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,18 +14,24 @@ HASH_DIGITS = 12  # hex digits of a row's hash
 LEVEL_BITS = 12  # bits that one histogram resolves
 
 
+def row_hash(row_id: Column, text: Column) -> Column:
+    """The hash that orders rows, of id and text; a NULL counts as empty."""
+    empty = F.lit("")
+    label = F.concat(F.coalesce(row_id.cast("string"), empty), F.lit(":"), F.coalesce(text, empty))
+    return F.conv(F.substring(F.md5(label), 1, HASH_DIGITS), 16, 10).cast("long")
+
+
 def sized(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     """Thin rows: ``doc_id``, ``source``, ``size`` in words and the hash ``h`` that orders them.
 
     The hash covers id and text, so reruns agree and rows are alike only if both are.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    label = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text)
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text, F.lit(SPACED)).cast("long").alias("size"),
-        F.conv(F.substring(F.md5(label), 1, HASH_DIGITS), 16, 10).cast("long").alias("h"),
+        row_hash(F.col(id_col), F.col(text_col)).alias("h"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stationflow.llm import (
     decontam,
     jaccard,
+    lattice,
     mixing,
     pii,
     secrets,
@@ -262,3 +263,19 @@ def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query()
+def op4_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Log10 probability of each document by words, and by all segmentations into pieces."""
+    held = held_out(5)
+    found = lattice.score(table(spark, sf, "documents"), ~held)
+    return found.select(
+        "doc_id",
+        (~F.col("learn")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
