@@ -21,6 +21,7 @@ COPIES = 4  # times that windows may hold a text before its region counts as den
 SKETCH = 1 << 18  # bound of the common shingles that are put last
 COUNT_EVERY = 4 << 20  # shingles that a task counts at a time for the sketch
 SLACK = 1e-9
+BINS = 64  # hash classes whose counts bound the distance of two sets
 
 
 def _shingles(texts: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -72,7 +73,10 @@ def common_shingles(rows: DataFrame, n: int) -> DataFrame:
 
 
 def prefixes(rows: DataFrame, common: DataFrame, n: int, percent: int) -> DataFrame:
-    """``k1, k2, size, s, hs``: size and hash of each row's set, and the rarest shingles of it.
+    """``k1, k2, size, s, hs, bins``: size and hash of each row's set, its rarest shingles, counts.
+
+    ``bins`` are the set's counts by hash class. Their differences sum up to no
+    more than the symmetric difference of two sets.
 
     Similar sets share one of their ``size - least + 1`` first shingles in any
     order that is the same for all; common ones come last.
@@ -103,6 +107,9 @@ def prefixes(rows: DataFrame, common: DataFrame, n: int, percent: int) -> DataFr
                 place = np.arange(len(h)) - ends[row]
                 first = place < (size - _least(size, percent) + 1)[row]
                 picked = h[order][first].view(np.int64)
+                of = row * BINS + (flat.mix(h + flat.U(7)) >> flat.U(58)).astype(np.int64)
+                bins = np.minimum(np.bincount(of, minlength=(high - low) * BINS), (1 << 16) - 1)
+                bins = bins.astype(np.uint16).reshape(-1, BINS)
                 lengths = np.bincount(row[first], minlength=high - low)
                 starts = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
                 part = b.slice(low, high - low)
@@ -110,11 +117,12 @@ def prefixes(rows: DataFrame, common: DataFrame, n: int, percent: int) -> DataFr
                     [
                         part.column(0), part.column(1), pa.array(size, pa.int32()), pa.array(s),
                         pa.ListArray.from_arrays(starts, pa.array(picked)),
+                        pa.array([x.tobytes() for x in bins], pa.binary()),
                     ],
-                    ["k1", "k2", "size", "s", "hs"],
+                    ["k1", "k2", "size", "s", "hs", "bins"],
                 )
 
-    schema = "k1 long, k2 long, size int, s long, hs array<long>"
+    schema = "k1 long, k2 long, size int, s long, hs array<long>, bins binary"
     return rows.select("k1", "k2", "text").mapInArrow(cut, schema)
 
 
@@ -194,6 +202,39 @@ def _join(percent: int):
     return join
 
 
+def _possible(percent: int):
+    """Rows of a region that the bound on distances leaves with a partner."""
+
+    def possible(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("s")
+        bins = np.array([np.frombuffer(x, np.uint16) for x in rows.bins]).astype(np.int32)
+        size = rows["size"].to_numpy()
+        keep = np.zeros(len(rows), bool)
+        for i in range(len(rows) - 1):
+            apart = np.abs(bins[i + 1 :] - bins[i]).sum(axis=1)
+            near = apart * (100 + percent) <= (size[i + 1 :] + size[i]) * (100 - percent)
+            keep[i] |= near.any()
+            keep[i + 1 :] |= near
+        return rows[["region", "s"]][keep]
+
+    return possible
+
+
+def narrowed(elected: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The rows ``region, s`` that can have a link in their region, before any set is fetched.
+
+    Only regions that one task can compare are narrowed; others stay as they are.
+    """
+    counts = store(elected.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "elected-sizes")
+    sized = elected.join(counts, "region")
+    few = sized.filter(F.col("n") <= LIMIT).select("region", "s")
+    of_class = found.join(few.select("s").distinct(), "s").groupBy("s")
+    of_class = of_class.agg(F.first("size").alias("size"), F.first("bins").alias("bins"))
+    kept = few.join(of_class, "s").groupBy("region")
+    kept = kept.applyInPandas(_possible(percent), "region long, s long")
+    return kept.unionByName(sized.filter(F.col("n") > LIMIT).select("region", "s"))
+
+
 def _assign(percent: int):
     """Distances of a block's rows to all pivots of the region: nearest one and windows."""
     reach = 1 - percent / 100
@@ -322,7 +363,8 @@ def classes(
     Equal sets are one class and are compared once. Every class elects pivots
     through its rarest shingles (the smallest class that has one of them is its
     pivot), so that linked classes have a pivot in common; a pivot and the
-    classes that elected it are a region, which is joined by ``region_links``.
+    classes that elected it are a region, which is joined by ``region_links``
+    after a bound on distances has removed classes that cannot link in it.
     Sets are told apart by 64-bit hashes of shingles and of sets.
 
     NULL or empty texts have no set, link with nothing and keep their own id.
@@ -336,6 +378,7 @@ def classes(
     lists = heads.groupBy("h").agg(F.min("s").alias("region"), F.max("s").alias("last"))
     lists = lists.filter("region <> last").select("h", "region")
     elected = store(heads.join(lists, "h").select("region", "s").distinct(), "elected")
+    elected = store(narrowed(elected, found.select("s", "size", "bins"), percent), "narrowed")
     members = elected.select("s").distinct()
     thin = found.select("s", "k1", "k2").join(members, "s")
     of_class = store(
