@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.llm import decontam, jaccard, mixing, pii, toxicity
+from stationflow.llm.bitmap import maybe_in
 from stationflow.llm.queries import held_out, table
 from stationflow.llm.shared import store
 
@@ -31,20 +32,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class, the one of the smallest id; empty ones all stay."""
+    columns = docs.columns
     found = jaccard.classes(docs, n=5, percent=80)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k1", "k2")).alias("r")
-    kept = found.filter("size > 0").groupBy("root").agg(first).select("r.k1", "r.k2")
-    empty = found.filter("size = 0").select("k1", "k2").distinct()
-    kept = store(kept.unionByName(empty), "kept")
-    stay = _with_keys(docs).join(kept, ["k1", "k2"], "left_semi")
-    return stay.dropDuplicates(["k1", "k2"]).select(*docs.columns)
+    kept = found.filter("size > 0").groupBy("root").agg(first).select("r.k1", "r.k2", F.lit(1).alias("stays"))
+    rows = found.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    stays = F.col("stays").isNotNull() | (F.col("size") == 0)
+    rows = rows.join(kept, ["k1", "k2"], "left").select("k1", "k2", "n", stays.alias("stays"))
+    # Only documents that go, or are there more than once, need to be looked at.
+    judged = store(rows.filter("n > 1 OR NOT stays").select("k1", "k2", "stays"), "judged")
+    docs = _with_keys(docs).withColumn("judge", maybe_in(judged, "k2"))
+    left = docs.filter("judge").join(judged, ["k1", "k2"], "left").filter("stays IS NOT FALSE")
+    left = left.dropDuplicates(["k1", "k2"]).select(*columns)
+    return docs.filter("NOT judge").select(*columns).unionByName(left)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of ten words of a benchmark item."""
     found = decontam.matches(docs, table(spark, sf_dir, "benchmark"))
     hit = store(found.filter("n_hit > 0").select("k1", "k2").distinct(), "contaminated")
-    return _with_keys(docs).join(hit, ["k1", "k2"], "left_anti").select(*docs.columns)
+    columns, docs = docs.columns, _with_keys(docs).withColumn("judge", maybe_in(hit, "k2"))
+    left = docs.filter("judge").join(hit, ["k1", "k2"], "left_anti").select(*columns)
+    return docs.filter("NOT judge").select(*columns).unionByName(left)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,39 @@
+"""A bitmap of fixed size that says which rows cannot have a key, so that they need not be shuffled.
+
+It never rules out a key that is there. With more keys than bits it rules out
+nothing any more, and all rows go to the join that follows.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BITS = 26  # 8 MB, and at most 2^20 words reach the driver
+
+
+def _position(key: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key, F.lit(26)), 64 - BITS)
+
+
+def maybe_in(keys: DataFrame, column: str) -> Column:
+    """Whether the row's ``column`` may be among the keys' ``column``."""
+    bit = F.expr("shiftleft(1L, cast(p & 63 as int))")
+    words = (
+        keys.select(_position(F.col(column)).alias("p"))
+        .groupBy(F.shiftright("p", 6).alias("w"))
+        .agg(F.bit_or(bit).alias("b"))
+        .collect()
+    )
+    table = np.zeros(1 << (BITS - 6), np.int64)
+    table[[r.w for r in words]] = [r.b for r in words]
+    shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def hit(position: pd.Series) -> pd.Series:
+        p = position.to_numpy()
+        return pd.Series((shared.value[p >> 6] >> (p & 63)) & 1 == 1)
+
+    return hit(_position(F.col(column)))

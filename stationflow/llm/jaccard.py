@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import flat
+from stationflow.llm.bitmap import maybe_in
 from stationflow.llm.components import components
 from stationflow.llm.shared import keyed, store
 
@@ -384,7 +385,8 @@ def classes(
     of_class = store(
         thin.groupBy("s").agg(F.min(F.struct("k1", "k2")).alias("r")).select("s", "r.k1", "r.k2"), "one-each"
     )
-    texts = rows.select("k1", "k2", "text").join(of_class, ["k1", "k2"])
+    texts = rows.select("k1", "k2", "text").filter(maybe_in(of_class, "k2"))
+    texts = texts.join(of_class, ["k1", "k2"])
     packed = store(sets(texts, n).dropDuplicates(["s"]), "sets")
     links = region_links(elected.withColumn("core", F.lit(False)), packed, percent)
     roots = components(store(links, "links"))
