@@ -19,6 +19,7 @@ LIMIT = 512  # texts that one task compares with each other
 DEPTH = 4  # Voronoi levels before a region is cut into blocks
 PIVOTS = 16  # of a region at a level
 COPIES = 4  # times that windows may hold a text before its region counts as dense
+NARROWED = 16 * LIMIT  # texts of a region that the bound on distances is tried for
 SKETCH = 1 << 18  # bound of the common shingles that are put last
 COUNT_EVERY = 4 << 20  # shingles that a task counts at a time for the sketch
 SLACK = 1e-9
@@ -224,16 +225,22 @@ def _possible(percent: int):
 def narrowed(elected: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The rows ``region, s`` that can have a link in their region, before any set is fetched.
 
-    Only regions that one task can compare are narrowed; others stay as they are.
+    A region that one task can compare is one group; a larger one is cut into
+    blocks, each pair of which is a group of these short rows. Regions of more
+    than ``NARROWED`` texts stay as they are.
     """
     counts = store(elected.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "elected-sizes")
     sized = elected.join(counts, "region")
-    few = sized.filter(F.col("n") <= LIMIT).select("region", "s")
+    few = sized.filter(F.col("n") <= NARROWED)
+    blocks = F.when(F.col("n") <= LIMIT, 1).otherwise(F.ceil(F.col("n") / (LIMIT // 2))).cast("int")
+    own = F.pmod(F.xxhash64("s", F.lit(-3)), blocks).cast("int")
+    paired = few.select("region", "s", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
+    paired = paired.select("region", "s", F.least("own", "o").alias("a"), F.greatest("own", "o").alias("b"))
     of_class = found.join(few.select("s").distinct(), "s").groupBy("s")
     of_class = of_class.agg(F.first("size").alias("size"), F.first("bins").alias("bins"))
-    kept = few.join(of_class, "s").groupBy("region")
-    kept = kept.applyInPandas(_possible(percent), "region long, s long")
-    return kept.unionByName(sized.filter(F.col("n") > LIMIT).select("region", "s"))
+    kept = paired.join(of_class, "s").groupBy("region", "a", "b")
+    kept = kept.applyInPandas(_possible(percent), "region long, s long").distinct()
+    return kept.unionByName(sized.filter(F.col("n") > NARROWED).select("region", "s"))
 
 
 def _assign(percent: int):
