@@ -23,7 +23,8 @@ NARROWED = 16 * LIMIT  # texts of a region that the bound on distances is tried
 SKETCH = 1 << 18  # bound of the common shingles that are put last
 COUNT_EVERY = 4 << 20  # shingles that a task counts at a time for the sketch
 SLACK = 1e-9
-BINS = 64  # hash classes whose counts bound the distance of two sets
+BINS = 64, 4096  # least and most hash classes whose counts bound the distance of two sets
+PER_BIN = 16  # shingles of a set for each class
 
 
 def _shingles(texts: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -43,6 +44,12 @@ def _least(size: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * size // 100)
 
 
+def bin_bits(size: np.ndarray) -> np.ndarray:
+    """Bits of the number of classes for sets of these sizes; twice the size has one more at most."""
+    least, most = (int(np.log2(b)) for b in BINS)
+    return np.clip(np.floor(np.log2(np.maximum(size, 1) / PER_BIN)), least, most).astype(np.int64)
+
+
 def common_shingles(rows: DataFrame, n: int) -> DataFrame:
     """``h, c``: shingles that are frequent somewhere, with a rough count.
 
@@ -109,9 +116,10 @@ def prefixes(rows: DataFrame, common: DataFrame, n: int, percent: int) -> DataFr
                 place = np.arange(len(h)) - ends[row]
                 first = place < (size - _least(size, percent) + 1)[row]
                 picked = h[order][first].view(np.int64)
-                of = row * BINS + (flat.mix(h + flat.U(7)) >> flat.U(58)).astype(np.int64)
-                bins = np.minimum(np.bincount(of, minlength=(high - low) * BINS), (1 << 16) - 1)
-                bins = bins.astype(np.uint16).reshape(-1, BINS)
+                bits = bin_bits(size)
+                base = np.concatenate(([0], np.cumsum(1 << bits)))
+                of = base[row] + (flat.mix(h + flat.U(7)) >> (64 - bits[row]).astype(flat.U)).astype(np.int64)
+                bins = np.minimum(np.bincount(of, minlength=base[-1]), (1 << 16) - 1).astype(np.uint16)
                 lengths = np.bincount(row[first], minlength=high - low)
                 starts = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
                 part = b.slice(low, high - low)
@@ -119,7 +127,7 @@ def prefixes(rows: DataFrame, common: DataFrame, n: int, percent: int) -> DataFr
                     [
                         part.column(0), part.column(1), pa.array(size, pa.int32()), pa.array(s),
                         pa.ListArray.from_arrays(starts, pa.array(picked)),
-                        pa.array([x.tobytes() for x in bins], pa.binary()),
+                        pa.array([bins[a:z].tobytes() for a, z in zip(base, base[1:])], pa.binary()),
                     ],
                     ["k1", "k2", "size", "s", "hs", "bins"],
                 )
@@ -205,18 +213,34 @@ def _join(percent: int):
 
 
 def _possible(percent: int):
-    """Rows of a region that the bound on distances leaves with a partner."""
+    """Rows of a region that the bound on distances leaves with a partner.
+
+    Only sets of similar size are compared; of two numbers of classes the larger
+    one is folded to the smaller, which is its half.
+    """
 
     def possible(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("s")
-        bins = np.array([np.frombuffer(x, np.uint16) for x in rows.bins]).astype(np.int32)
+        rows = rows.drop_duplicates("s").sort_values("size")
         size = rows["size"].to_numpy()
+        bits = bin_bits(size)
         keep = np.zeros(len(rows), bool)
-        for i in range(len(rows) - 1):
-            apart = np.abs(bins[i + 1 :] - bins[i]).sum(axis=1)
-            near = apart * (100 + percent) <= (size[i + 1 :] + size[i]) * (100 - percent)
-            keep[i] |= near.any()
-            keep[i + 1 :] |= near
+        packed = rows.bins.tolist()
+        for b in np.unique(bits):
+            own = np.flatnonzero(bits == b)
+            both = np.flatnonzero((bits == b) | (bits == b + 1))
+            bins = np.zeros((len(both), 1 << b), np.int32)
+            for k, i in enumerate(both):
+                bins[k] = np.frombuffer(packed[i], np.uint16).reshape(1 << b, -1).sum(axis=1)
+            for i in own:
+                k = i - both[0]
+                last = np.searchsorted(size[both], 100 * size[i] // percent, "right")
+                if last <= k + 1:
+                    continue
+                apart = np.abs(bins[k + 1 : last] - bins[k]).sum(axis=1)
+                sizes = size[both[k + 1 : last]] + size[i]
+                near = apart * (100 + percent) <= sizes * (100 - percent)
+                keep[i] |= near.any()
+                keep[both[k + 1 : last]] |= near
         return rows[["region", "s"]][keep]
 
     return possible
