@@ -85,8 +85,15 @@ def use_database(spark: SparkSession, name: str, location: str | None = None) ->
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder that all executors share: below ``spark.checkpoint.dir``, else the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
+
+    Only a local session without that setting falls back to its warehouse folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
