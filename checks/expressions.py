@@ -51,7 +51,7 @@ def epoch_text(spark, sf):
            strftime(started_at, '%Y-%m-%d %H:00:00') AS hour_text,
            strftime(started_at, '%H') AS hour_of_time,
            isodow(date) >= 6 AND year(date) BETWEEN {YEARS[0]} AND {YEARS[1]} AS is_dayoff,
-           isodow(date) >= 6 AND year(date) BETWEEN 2021 AND 2023 AS is_dayoff_default
+           isodow(date) >= 6 AS is_dayoff_default
     FROM trips"""))
 def date_parts(spark, sf):
     return trips(spark, sf).select(

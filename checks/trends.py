@@ -110,17 +110,25 @@ def cross_counts(spark, sf):
     FROM orders GROUP BY 1""")
 def crosstab(spark, sf):
     return trends.crosstab(
-        load(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"]
+        load(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"], rest=None
     )
 
 
+@query("""
+    SELECT o_orderpriority, nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS "F",
+           nullif(count(*) FILTER (o_orderstatus IS DISTINCT FROM 'F'), 0) AS rest
+    FROM orders GROUP BY 1""")
+def crosstab_rest(spark, sf):
+    return trends.crosstab(load(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["F"])
+
+
 @query(using("trips", """
     SELECT CAST(dayofweek(started_at) + 1 AS INT) AS dow, dayname(started_at) AS day,
            nullif(count(*) FILTER (member_casual = 'member'), 0) AS member,
            nullif(count(*) FILTER (member_casual = 'casual'), 0) AS casual
     FROM trips GROUP BY 1, 2"""))
 def dow_by_member(spark, sf):
-    return trends.dow_by_member(trips(spark, sf))
+    return trends.dow_by_member(trips(spark, sf), rest=None)
 
 
 _DAYOFF = f"isodow(date) >= 6 AND year(date) BETWEEN {YEARS[0]} AND {YEARS[1]}"
@@ -153,6 +161,17 @@ def dayoff_effect(spark, sf):
     return effect.select(*[F.round(c, 6).alias(c) for c in effect.columns])
 
 
+@query(using("trips", """
+    SELECT CASE WHEN d THEN 'day off' ELSE 'other' END AS kind, count(*) AS days,
+           round(avg(n), 6) AS avg_trips
+    FROM daily GROUP BY 1""",
+    daily="SELECT date, coalesce(isodow(date) >= 6, false) AS d, count(*) AS n FROM trips GROUP BY date"))
+def dayoff_default(spark, sf):
+    """Days off of all years, asked in SQL over a common table expression."""
+    means = trends.dayoff_means(trends.daily_by_dayoff(trips(spark, sf)))
+    return means.withColumn("avg_trips", F.round("avg_trips", 6))
+
+
 @query(using("trips", """
     SELECT start_station_id, round(off, 6) AS avg_dayoff, round(other, 6) AS avg_other,
            round((off - other) / other * 100, 6) AS pct_change

@@ -20,13 +20,18 @@ def wall_clock(column: str | Column) -> Column:
 
 
 def hour_start(column: str | Column) -> Column:
-    """The hour a timestamp falls in."""
-    return F.date_trunc("hour", wall_clock(column)).cast("timestamp_ntz")
+    """The hour a timestamp falls in.
+
+    Built from date and hour: truncation works on instants of the session zone, which
+    has no such hour when its clocks go forward.
+    """
+    at = wall_clock(column)
+    return F.timestamp_add("HOUR", F.hour(at), F.to_date(at).cast("timestamp_ntz"))
 
 
 def hour_label(column: str | Column) -> Column:
     """Time of day of the hour as ``HH:00:00`` text."""
-    return F.date_format(column, "HH:00:00")
+    return F.concat(F.lpad(F.hour(column).cast("string"), 2, "0"), F.lit(":00:00"))
 
 
 def hour_bucket(df: DataFrame, ts: str = "started_at") -> DataFrame:
@@ -49,7 +54,7 @@ def epoch_parts(df: DataFrame, column: str = "dt", zone: str = "UTC") -> DataFra
     return df.withColumn("ts", epoch_wall_clock(column, zone)).withColumns(
         {
             "date": F.to_date("ts"),
-            "time": F.date_format("ts", "HH:mm:ss"),
+            "time": F.substring_index(F.col("ts").cast("string"), " ", -1),
             "year": F.year("ts"),
             "month": F.month("ts"),
         }
@@ -59,24 +64,30 @@ def epoch_parts(df: DataFrame, column: str = "dt", zone: str = "UTC") -> DataFra
 def epoch_text(
     seconds: str | Column, zone: str = "UTC", pattern: str = "yyyy-MM-dd HH:mm:ss"
 ) -> Column:
-    """Epoch seconds as formatted text."""
-    return F.date_format(epoch_wall_clock(seconds, zone), pattern)
+    """Epoch seconds as formatted text.
+
+    Only the default pattern is free of the session zone: other ones are formatted as
+    instants, so an hour that the session zone skips moves.
+    """
+    at = epoch_wall_clock(seconds, zone)
+    return at.cast("string") if pattern == "yyyy-MM-dd HH:mm:ss" else F.date_format(at, pattern)
 
 
 def year_month(column: str | Column, padded: bool = True) -> Column:
     """``2021-03``, which sorts by time; ``padded=False`` gives ``2021-3``."""
+    year, month = F.year(column).cast("string"), F.month(column).cast("string")
     if padded:
-        return F.date_format(column, "yyyy-MM")
-    return F.concat(F.year(column).cast("string"), F.lit("-"), F.month(column).cast("string"))
+        year, month = F.lpad(year, 4, "0"), F.lpad(month, 2, "0")
+    return F.concat(year, F.lit("-"), month)
 
 
 def day_name(column: str | Column) -> Column:
-    return F.date_format(column, "EEEE")
+    return F.date_format(F.to_date(column), "EEEE")
 
 
 def hour_text(date: str | Column, hour: str | Column) -> Column:
     """Date and hour number as ``yyyy-MM-dd HH:00:00`` text."""
-    return F.concat(F.date_format(date, "yyyy-MM-dd"), F.format_string(" %02d:00:00", hour))
+    return F.concat(F.to_date(date).cast("string"), F.format_string(" %02d:00:00", hour))
 
 
 def hour_of_time(time: str | Column) -> Column:
@@ -86,16 +97,21 @@ def hour_of_time(time: str | Column) -> Column:
 
 def is_dayoff(
     date: str | Column,
-    first_year: int = 2021,
-    last_year: int = 2023,
+    first_year: int | None = None,
+    last_year: int | None = None,
     holidays: Iterable[dt.date] = (),
 ) -> Column:
-    """True on Saturdays and Sundays of the given years and on listed holidays.
+    """True on Saturdays and Sundays and on listed holidays.
 
-    A NULL date and any year outside the range are false.
+    ``first_year`` and ``last_year`` bound the weekends, each only if given. A NULL
+    date is false.
     """
     date = F.col(date) if isinstance(date, str) else date
-    off = (F.weekday(date) >= 5) & F.year(date).between(first_year, last_year)
+    off = F.weekday(date) >= 5
+    if first_year is not None:
+        off = off & (F.year(date) >= first_year)
+    if last_year is not None:
+        off = off & (F.year(date) <= last_year)
     holidays = list(holidays)
     if holidays:
         off = off | date.isin(holidays)

@@ -105,23 +105,33 @@ def net_flow(
     """Departures, arrivals and net flow of every station in every hour.
 
     The sum is taken per task before the shuffle, so a busy station does not
-    make a large task. With ``zero_fill`` each station has every hour from
-    ``first`` to ``last``; by default the first and last hour of all trips.
+    make a large task. With ``zero_fill`` each station of any trip has every hour from
+    ``first`` to ``last``, idle or not; by default the first and last hour of all trips.
     """
     change = F.col("change")
-    hourly = (
-        station_legs(trips, start, end)
-        .groupBy("station_id", "ts_hour")
-        .agg(
-            F.count_if(change < 0).alias("departures"),
-            F.count_if(change > 0).alias("arrivals"),
-            F.sum(change).alias("net_flow"),
-        )
-    )
+    legs = station_legs(trips, start, end)
+    inside = F.lit(True)
     if first is not None:
-        hourly = hourly.filter(F.col("ts_hour") >= wall_clock_literal(first))
+        inside = inside & (F.col("ts_hour") >= wall_clock_literal(first))
     if last is not None:
-        hourly = hourly.filter(F.col("ts_hour") <= wall_clock_literal(last))
+        inside = inside & (F.col("ts_hour") <= wall_clock_literal(last))
+    if first is None and last is None:
+        pass
+    elif zero_fill:
+        # A leg outside counts nothing at a bound: its station is known, all the same.
+        bound = wall_clock_literal(last if first is None else first)
+        legs = legs.select(
+            "station_id",
+            F.when(inside, F.col("ts_hour")).otherwise(bound).alias("ts_hour"),
+            F.when(inside, change).otherwise(F.lit(0)).alias("change"),
+        )
+    else:
+        legs = legs.filter(inside)
+    hourly = legs.groupBy("station_id", "ts_hour").agg(
+        F.count_if(change < 0).alias("departures"),
+        F.count_if(change > 0).alias("arrivals"),
+        F.sum(change).alias("net_flow"),
+    )
     if not zero_fill:
         return hourly
     return fill_hours(hourly, ["departures", "arrivals", "net_flow"], first, last)

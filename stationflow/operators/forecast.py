@@ -378,8 +378,11 @@ def select_best(metrics: DataFrame, k: Sequence[str] = ("station_id",)) -> DataF
 def attach_forecast(
     holdout: DataFrame, forecast: DataFrame, k: Sequence[str] = ("station_id",)
 ) -> DataFrame:
-    """Holdout rows with ``yhat`` of the same key and time, and the residual."""
-    forecast = forecast.select(*k, "ds", "yhat").dropDuplicates([*k, "ds"])
+    """Holdout rows with ``yhat`` of the same key and time, and the residual.
+
+    Of several forecasts of one key and time the lowest counts, on every run.
+    """
+    forecast = forecast.groupBy(*k, "ds").agg(F.min("yhat").alias("yhat"))
     joined = holdout.join(forecast, [*k, "ds"])
     return joined.withColumn("residual", F.col("yhat") - F.col("y"))
 

@@ -74,9 +74,22 @@ def _count_columns(b: str, values: Sequence[str]) -> list[Column]:
     return [F.nullif(F.count_if(F.col(b) == F.lit(v)), F.lit(0)).alias(v) for v in values]
 
 
-def crosstab(df: DataFrame, a: str, b: str, values: Sequence[str]) -> DataFrame:
-    """One row per ``a``, one count column per listed value of ``b``."""
-    return df.groupBy(a).agg(*_count_columns(b, values))
+def _counts_and_rest(b: str, values: Sequence[str], rest: str | None) -> list[Column]:
+    if rest is None:
+        return _count_columns(b, values)
+    listed = F.coalesce(F.col(b).isin(list(values)), F.lit(False))
+    return [*_count_columns(b, values), F.nullif(F.count_if(~listed), F.lit(0)).alias(rest)]
+
+
+def crosstab(
+    df: DataFrame, a: str, b: str, values: Sequence[str], rest: str | None = "rest"
+) -> DataFrame:
+    """One row per ``a``, one count column per listed value of ``b``.
+
+    ``rest`` names the column that counts NULL and all other values; ``None`` leaves
+    it out, for values known to be all there are.
+    """
+    return df.groupBy(a).agg(*_counts_and_rest(b, values, rest))
 
 
 def dow_by_member(
@@ -84,15 +97,18 @@ def dow_by_member(
     ts: str = "started_at",
     member: str = "member_casual",
     values: Sequence[str] = ("member", "casual"),
+    rest: str | None = "rest",
 ) -> DataFrame:
     """Trips per day of the week, one column per member type, Sunday first.
 
+    ``rest`` is that of :func:`crosstab`.
+
     Days are named after the aggregate, seven times rather than once per trip.
     """
     sunday = F.lit("1970-01-04").cast("date")
     return (
         df.groupBy(F.dayofweek(ts).alias("dow"))
-        .agg(*_count_columns(member, values))
+        .agg(*_counts_and_rest(member, values, rest))
         .withColumn("day", day_name(F.date_add(sunday, F.col("dow") - 1)))
         .orderBy("dow")
     )
@@ -102,8 +118,8 @@ def daily_by_dayoff(
     df: DataFrame,
     date: str = "date",
     k: Sequence[str] = (),
-    first_year: int = 2021,
-    last_year: int = 2023,
+    first_year: int | None = None,
+    last_year: int | None = None,
 ) -> DataFrame:
     """Trips per day with the day-off flag.
 
@@ -126,6 +142,20 @@ def dayoff_effect(daily: DataFrame, k: Sequence[str] = ()) -> DataFrame:
     return means.withColumn("pct_change", pct_change(F.col("avg_dayoff"), F.col("avg_other")))
 
 
+def dayoff_means(daily: DataFrame) -> DataFrame:
+    """Days and mean daily trips per kind of day, in SQL; leaves no view behind."""
+    return daily.sparkSession.sql(
+        """
+        WITH kinds AS (
+            SELECT CASE WHEN is_dayoff THEN 'day off' ELSE 'other' END AS kind, trips
+            FROM {daily}
+        )
+        SELECT kind, count(*) AS days, avg(trips) AS avg_trips FROM kinds GROUP BY kind
+        """,
+        daily=daily,
+    )
+
+
 def top_k(df: DataFrame, key: str, n: int = 20) -> DataFrame:
     """The ``n`` most frequent values; ties go to the lower value."""
     return value_counts(df, key).limit(n)

@@ -20,6 +20,7 @@ from ..functions.timeparts import (
     hour_label,
     hour_start,
     wall_clock,
+    year_month,
 )
 from ..operators import flow, forecast, quality, registry, serving
 from ..sources import schemas
@@ -42,9 +43,13 @@ CATEGORICAL_WEATHER = ("main", "description", "icon")
 def ingest_trips(
     spark: SparkSession, source: str, root: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Takes new trip files into ``bronze/trips_raw``, partitioned by start month."""
+    """Takes new trip files into ``bronze/trips_raw``, partitioned by start month.
+
+    The month is that of the parsed time, however it is written; unreadable times share
+    the partition of NULL.
+    """
     raw = stream_csv(spark, source, schemas.TRIPS, files_per_batch).withColumn(
-        "start_month", F.substring("started_at", 1, 7)
+        "start_month", year_month(wall_clock("started_at"))
     )
     drain(
         raw,
@@ -217,9 +222,14 @@ def hourly_tables(
 
 
 def once_per_hour(weather: DataFrame) -> DataFrame:
-    """Temperature, wind and humidity, one row per hour."""
+    """Temperature, wind and humidity, one row per hour: the most complete report, of
+    those the latest (``dt``, where there is one), of those the coldest."""
     measures = ["temp", "wind_speed", "humidity"]
-    return quality.keep_first(weather.select("ts_hour", *measures), ["ts_hour"], measures)
+    missing = sum(F.col(c).isNull().cast("int") for c in measures)
+    age = -F.col("dt").try_cast("bigint") if "dt" in weather.columns else F.lit(0)
+    rows = weather.select("ts_hour", *measures, missing.alias("_missing"), age.alias("_age"))
+    order = ["_missing", "_age", *measures]
+    return quality.keep_first(rows, ["ts_hour"], order).drop("_missing", "_age")
 
 
 def frames(

@@ -154,3 +154,28 @@ def test_weather_hours_of_each_station(spark, start, hours):
     assert [int(r.temp) for r in got] == hours
     idle = [int(r.temp) for r in got if r.num_bikes_available is None]
     assert idle == [h for h in hours if h not in (1, 3)]
+
+
+def test_idle_stations_have_every_hour_of_the_window(spark):
+    rows = [
+        (dt.datetime(2022, 1, 1, 5), dt.datetime(2022, 1, 1, 6), "a", "b"),
+        (dt.datetime(2022, 2, 1, 5), dt.datetime(2022, 2, 1, 5), "c", "a"),
+    ]
+    trips = spark.createDataFrame(
+        rows,
+        "started_at timestamp_ntz, ended_at timestamp_ntz, start_station_id string, end_station_id string",
+    )
+    first, last = dt.datetime(2022, 1, 1, 4), dt.datetime(2022, 1, 1, 6)
+    got = flow.net_flow(trips, first=first, last=last).collect()
+    by_station = {}
+    for r in sorted(got, key=lambda r: r.ts_hour):
+        by_station.setdefault(r.station_id, []).append((r.departures, r.arrivals, r.net_flow))
+    idle = (0, 0, 0)
+    assert by_station == {
+        "a": [idle, (1, 0, -1), idle],
+        "b": [idle, idle, (0, 1, 1)],
+        "c": [idle, idle, idle],
+    }
+    only_late = flow.net_flow(trips, last=last)
+    assert {r.station_id for r in only_late.collect()} == {"a", "b", "c"}
+    assert flow.net_flow(trips, zero_fill=False, first=first, last=last).count() == 2

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from stationflow.functions import numbers, timeparts
@@ -28,8 +29,10 @@ def test_dayoff_years_nulls_and_holidays(spark):
         (None, False),
     ]
     df = spark.createDataFrame(days, "d date, want boolean")
-    for row in df.withColumn("got", timeparts.is_dayoff("d")).collect():
+    for row in df.withColumn("got", timeparts.is_dayoff("d", 2021, 2023)).collect():
         assert row.got == row.want
+    every_year = df.filter(timeparts.is_dayoff("d")).orderBy("d").collect()
+    assert [r.d.year for r in every_year] == [2020, 2022, 2022]
     monday = timeparts.is_dayoff("d", holidays=[dt.date(2022, 1, 3)])
     assert df.filter(monday & (F.col("d") == "2022-01-03")).count() == 1
 
@@ -86,3 +89,32 @@ def test_days_of_the_week_are_named_and_unknown_days_kept(spark):
     df = spark.createDataFrame(rows, "started_at timestamp_ntz, member_casual string")
     got = [(r.day, r.member, r.casual) for r in dow_by_member(df).collect()]
     assert got == [(None, 1, None), ("Sunday", 1, None), ("Saturday", None, 1)]
+
+
+def test_crosstab_counts_unlisted_and_null_values(spark):
+    from stationflow.operators.trends import crosstab
+
+    rows = [("a", "member"), ("a", "guest"), ("a", None), ("b", "member")]
+    df = spark.createDataFrame(rows, "k string, v string")
+    got = sorted(tuple(r) for r in crosstab(df, "k", "v", ["member"]).collect())
+    assert got == [("a", 1, 2), ("b", 1, None)]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_hours_do_not_depend_on_the_session_zone(spark, zone):
+    # The session zone of New York skips 02:00 on 13 March 2022.
+    df = spark.createDataFrame([("2022-03-13 02:30:00", "1647138600")], "t string, dt string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        row = timeparts.hour_bucket(df, "t").withColumns(
+            {
+                "text": timeparts.epoch_text("dt"),
+                "ym": timeparts.year_month("ts_hour"),
+                "hour": F.col("ts_hour").cast("string"),
+            }
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert row.hour == "2022-03-13 02:00:00" and row.time == "02:00:00"
+    assert row.text == "2022-03-13 02:30:00" and row.ym == "2022-03"

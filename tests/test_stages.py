@@ -92,3 +92,25 @@ def test_forecast_beats_the_hourly_mean(spark, lake):
     ours, theirs = both.agg(F.avg("ours"), F.avg("mae")).first()
     assert ours < theirs * 1.2
     assert dt.date(2024, 1, 1) <= rows.agg(F.min("ds")).first()[0].date()
+
+
+def test_months_follow_from_the_time_not_from_its_text(spark, tmp_path):
+    starts = ["2022-01-05 10:00:00", "2022-1-6 10:00:00", " 2022-01-07 10:00:00", "soon", "2022-02-01 00:00:00"]
+    columns = schemas.TRIPS.fieldNames()
+    rows = [tuple(str(i) if c == "ride_id" else s if c == "started_at" else None for c in columns)
+            for i, s in enumerate(starts)]
+    trips = spark.createDataFrame(rows, schemas.TRIPS)
+    trips.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(str(tmp_path / "drop"))
+    raw = stages.ingest_trips(spark, str(tmp_path / "drop"), str(tmp_path))
+    assert {r.start_month for r in raw.collect()} == {"2022-01", "2022-02", None}
+    january = stages.clean_trips(raw, dt.date(2022, 1, 1), dt.date(2022, 1, 31))
+    assert {r.ride_id for r in january.collect()} == {"0", "1", "2"}
+
+
+def test_the_most_complete_report_of_an_hour_is_kept(spark):
+    at = dt.datetime(2022, 1, 1)
+    rows = [(at, "9", None, 1.0, 50.0), (at, "1", 2.0, 1.0, 50.0), (at, "2", 3.0, 1.0, 50.0)]
+    weather = spark.createDataFrame(
+        rows, "ts_hour timestamp_ntz, dt string, temp double, wind_speed double, humidity double"
+    )
+    assert [r.temp for r in stages.once_per_hour(weather).collect()] == [3.0]
