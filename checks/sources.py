@@ -158,8 +158,3 @@ def database_table(spark, sf):
     return spark.sql(
         "SELECT event_type, count(*) AS n FROM stationflow_check.events GROUP BY event_type"
     )
-
-
-@query()
-def input_files(spark, sf):
-    return tables.input_files(spark, sf)
