@@ -7,10 +7,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__  # noqa: F401  (registers the queries)
+from checks.registry import QUERIES
 from stationflow.operators import serving
 
-QUERIES = entry.queries()
 FITTED = {"fit_predict", "tuned_parameters"}
 
 
