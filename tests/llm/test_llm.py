@@ -59,6 +59,17 @@ def test_query_equals_sql(spark, sf, name):
     assert compare(connect(sf), queries.QUERIES[name](spark, sf), queries.SQL[name]) == []
 
 
+NATIVE = {"op1_url_filters", "op5_mixing", "op6_decontamination", "op7_secrets", "op9_fingerprints"}
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_no_cross_join_and_no_python_in_native_plans(spark, sf, name):
+    plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    if name in NATIVE:
+        assert not re.search(r"Python|Pandas|Arrow", plan)
+
+
 def operators(spark, docs):
     benchmark = spark.createDataFrame([(1, "same text of a few words"), (2, None)], "item_id long, text string")
     labels = spark.createDataFrame([(1, 0), (4, 1), (None, 1)], "doc_id long, toxic int")
