@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationflow.llm.shared import bound_batches
+
 BITS = 26  # 8 MB, and at most 2^20 words reach the driver
 
 
@@ -29,6 +31,7 @@ def maybe_in(keys: DataFrame, column: str) -> Column:
     )
     table = np.zeros(1 << (BITS - 6), np.int64)
     table[[r.w for r in words]] = [r.b for r in words]
+    bound_batches(keys.sparkSession)
     shared = keys.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("boolean")

@@ -1,6 +1,6 @@
 """Texts of an Arrow batch as one byte array, with hashes of their words and word runs.
 
-Everything is done for all texts of a chunk at once; a chunk has a few MB, or is one long text.
+Everything is done for all texts of a chunk at once; a chunk has a MB, or is one long text.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}

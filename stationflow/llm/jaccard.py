@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stationflow.llm import flat
 from stationflow.llm.bitmap import maybe_in
 from stationflow.llm.components import components
-from stationflow.llm.shared import keyed, store
+from stationflow.llm.shared import bound_batches, keyed, store
 
 LIMIT = 512  # texts that one task compares with each other
 DEPTH = 4  # Voronoi levels before a region is cut into blocks
@@ -21,7 +21,7 @@ PIVOTS = 16  # of a region at a level
 COPIES = 4  # times that windows may hold a text before its region counts as dense
 NARROWED = 16 * LIMIT  # texts of a region that the bound on distances is tried for
 SKETCH = 1 << 18  # bound of the common shingles that are put last
-COUNT_EVERY = 4 << 20  # shingles that a task counts at a time for the sketch
+COUNT_EVERY = 2 << 20  # shingles that a task counts at a time for the sketch
 SLACK = 1e-9
 BINS = 64, 4096  # least and most hash classes whose counts bound the distance of two sets
 PER_BIN = 16  # shingles of a set for each class
@@ -403,6 +403,7 @@ def classes(
     NULL ids are not considered for the smallest id. Repeated rows are copies. No
     rows give no rows; other columns are not read.
     """
+    bound_batches(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     found = store(prefixes(rows, common_shingles(rows, n), n, percent), "prefixes")
     heads = found.filter("size > 0").select("s", F.explode("hs").alias("h"))

@@ -16,6 +16,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from stationflow.llm.shared import bound_batches
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "account", "login")
 SPANS = ArrayType(
@@ -131,6 +133,7 @@ def scan(docs: DataFrame, text_col: str = "text", mask: bool = False) -> DataFra
     NULL and empty texts have no spans (a NULL stays NULL). An input column named
     ``pii`` is replaced. Rows are independent of each other.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.drop("pii")
     at = docs.columns.index(text_col)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -13,8 +13,20 @@ from stationflow.sources.tables import store
 # Words between ASCII white space.
 SPACED = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
 
-__all__ = ["SPACED", "UPPER", "fold", "keyed", "numbered", "span_list", "store"]
+__all__ = ["SPACED", "UPPER", "bound_batches", "fold", "keyed", "numbered", "span_list", "store"]
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES``, or one row, unless the session has its own limit.
+
+    Spark's default of 64 MB is held several times over for each task: by the JVM
+    and by Python, as input and as output.
+    """
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
 
 
 def fold(word: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stationflow.llm import flat
-from stationflow.llm.shared import store
+from stationflow.llm.shared import bound_batches, store
 
 BITS = 20  # hashed features; feature 0 is the bias
 TRAIN_ROWS = 16_000  # bound of the labelled sample that the model is fitted on
@@ -71,6 +71,7 @@ def train(
     At most ``rows`` examples, those of the lowest hash of the id, are used; the
     weights are at most 2^BITS rows. Rows without a label or id are not used.
     """
+    bound_batches(docs.sparkSession)
     order = F.xxhash64(F.col("id").cast("string"), F.lit(8))
     marked = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"))
     marked = marked.filter("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.max("y").alias("y"))
@@ -110,6 +111,7 @@ def score(docs: DataFrame, weights: DataFrame, text_col: str = "text") -> DataFr
     input column named ``score`` is replaced. Repeated rows score alike.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     model = weights.collect()
     sparse = spark.sparkContext.broadcast(
         (np.array([r.i for r in model], np.int32), np.array([r.w for r in model], float))
