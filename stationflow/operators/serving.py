@@ -26,7 +26,9 @@ def latest_status(
 
     ``as_of`` is wall-clock time in ``zone``; it becomes epoch seconds, so the scan
     can skip later reports. ``strict_hour`` takes only reports from before its hour.
-    The latest row is kept by an aggregate, so each task sends one row per key.
+    Of reports of the same second, the one of the highest first level is taken, then of
+    the highest second level; a missing level, or one beyond 32 bits, is lowest. The latest row is kept by an
+    aggregate, so each task sends one row per key.
     """
     if strict_hour:
         as_of = as_of.replace(minute=0, second=0, microsecond=0)
@@ -35,9 +37,12 @@ def latest_status(
     if status.schema["last_reported"].dataType == T.StringType():
         seconds = seconds.try_cast("bigint")
     known = status.filter(seconds < until if strict_hour else seconds <= until)
-    # One number to order by keeps this a hash aggregate; reports of the same second
-    # are told apart by a hash of the row, the same on every run.
-    order = seconds * F.lit(2**20) + F.pmod(F.xxhash64(*levels), F.lit(2**20))
+    # One number to order by keeps this a hash aggregate: seconds, then ten digits a level.
+    order = F.greatest(seconds, F.lit(-(10**16))).cast("decimal(18,0)")
+    for c in levels[:2]:
+        level = F.coalesce(F.col(c).try_cast("int").cast("bigint") + 2**31, F.lit(0))
+        order = (order * F.lit(10**10)).cast("decimal(38,0)") + level
+        order = order.cast("decimal(38,0)")
     return known.groupBy(*k).agg(
         epoch_wall_clock(F.max(seconds), zone).alias("last_reported"),
         *[F.max_by(c, order).alias(c) for c in levels],

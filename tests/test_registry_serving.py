@@ -128,7 +128,14 @@ def test_same_second_reports_give_one_whole_row(spark):
     df = spark.createDataFrame(rows, STATUS).repartition(7)
     seen = {tuple(serving.latest_status(df, T0).first()) for _ in range(3)}
     [row] = seen
-    assert row[2] + row[3] == 40
+    assert row[2:] == (19, 21)
+
+
+def test_second_level_and_missing_levels_break_ties(spark):
+    rows = [("A", 100, 9, 1), ("A", 100, 9, 7), ("A", 100, None, 50), ("A", -(2**63), 99, 99)]
+    rows += [("B", 100, None, None), ("B", 100, None, 3)]
+    got = {tuple(r) for r in serving.latest_status(spark.createDataFrame(rows, STATUS), T0).collect()}
+    assert {(r[0], *r[2:]) for r in got} == {("A", 9, 7), ("B", None, 3)}
 
 
 def test_levels_and_capacity(spark):
