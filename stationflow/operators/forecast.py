@@ -178,21 +178,26 @@ def seasonal_mean_backtest(
     y = F.col("y")
     seen = (
         series.join(cuts, k)
-        .select(*k, "hour", first_fold.alias("fold"), y, (y * y).alias("yy"))
+        .select(*k, "hour", first_fold.alias("fold"), y)
         .groupBy(*k, "hour", "fold")
-        .agg(F.count("y").alias("n"), F.sum("y").alias("s"), F.sum("yy").alias("ss"))
+        .agg(F.count("y").alias("n"), F.sum("y").alias("s"), F.avg("y").alias("m"), F.var_pop("y").alias("v"))
     )
+    # Spread about a value near all of them, so that squares of a high level do not cancel.
+    off = F.col("m") - F.min("m").over(W.partitionBy(*k, "hour"))
+    seen = seen.withColumn("so", F.col("n") * off)
+    seen = seen.withColumn("ss", F.col("n") * (F.col("v") + off * off)).drop("m", "v")
     hours = seen.select(*k, "hour").distinct().join(folds.select(*k, "fold"), k)
     so_far = W.partitionBy(*k, "hour").orderBy("fold")
     means = (
         hours.join(seen, [*k, "hour", "fold"], "left")
-        .withColumns({c: F.sum(c).over(so_far) for c in ("n", "s", "ss")})
+        .withColumns({c: F.sum(c).over(so_far) for c in ("n", "s", "so", "ss")})
         .withColumn("yhat", F.try_divide("s", F.col("n").cast("double")))
         .withColumn(
             "_sd",
             F.sqrt(
                 F.greatest(
-                    F.try_divide("ss", F.col("n").cast("double")) - F.col("yhat") * F.col("yhat"),
+                    F.try_divide("ss", F.col("n").cast("double"))
+                    - F.pow(F.try_divide("so", F.col("n").cast("double")), F.lit(2)),
                     F.lit(0.0),
                 )
             ),

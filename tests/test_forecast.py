@@ -126,8 +126,9 @@ def test_folds_equal_walking_back_from_the_end(spark, days, initial, period, hor
     assert [(r.fold, r.cutoff) for r in folds] == list(enumerate(reversed(want)))
 
 
-def test_mean_backtest_equals_a_loop_over_folds(spark):
-    rows = series(spark, 25, daily, noise=1.0)
+@pytest.mark.parametrize("level", [0, 1e8])
+def test_mean_backtest_equals_a_loop_over_folds(spark, level):
+    rows = series(spark, 25, lambda pdf: daily(pdf) + level, noise=1.0)
     folds = forecast.cv_folds(rows, 10, 4, 6)
     got = forecast.seasonal_mean_backtest(rows, folds, 6).toPandas()
     pdf = rows.toPandas()
@@ -136,9 +137,11 @@ def test_mean_backtest_equals_a_loop_over_folds(spark):
         train = pdf[pdf.ds <= f.cutoff]
         test = pdf[(pdf.ds > f.cutoff) & (pdf.ds <= f.cutoff + dt.timedelta(days=6))]
         mean = train.groupby("hour").y.mean()
+        spread = 2 * 1.2815515655446004 * train.groupby("hour").y.std(ddof=0)
         mine = got[got.fold == f.fold].sort_values("ds")
         assert list(mine.ds) == list(test.ds)
         assert np.allclose(mine.yhat, test.hour.map(mean))
+        assert np.allclose(mine.yhat_upper - mine.yhat_lower, test.hour.map(spread), rtol=1e-5)
         checked += len(mine)
     assert checked == len(got) > 0
 
