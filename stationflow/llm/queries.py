@@ -127,6 +127,19 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op6_decontamination_near(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten-word windows of each document's benchmark items that match it by proximity only."""
+    found = decontam.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_hit",
+        "n_near",
+        F.size("near_items").cast("long").alias("n_near_items"),
+        F.array_join("near_items", ",").alias("near_items"),
+    )
+
+
 _CERTAIN = [k for k, v in secrets.KINDS.items() if v[4]]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -204,6 +205,59 @@ def test_secrets_base_and_weak_parts(spark, sf, docs):
     assert got == {1: ["weak_id", "weak_secret"], 2: [], 3: []}
 
 
+def near_brute(text, items, n=10, slop=2, share=0.8):
+    """Windows that are no phrase of the text but have enough terms in one run of it, and their items."""
+    split = lambda t: re.findall(decontam.WORD, "".join(c.lower() if c.isascii() else c for c in t or ""))
+    w, found, named = split(text), set(), set()
+    for item_id, item in items:
+        v = split(item)
+        for i in range(max(len(v) - n, 0) + 1 if v else 0):
+            x = v[i : i + n]
+            span = len(x) + 2 * slop
+            if any(w[j : j + len(x)] == x for j in range(len(w))):
+                continue
+            runs = [w[j : j + span] for j in range(max(len(w) - span, 0) + 1)]
+            if any(len(set(x) & set(r)) >= math.ceil(share * len(set(x))) for r in runs):
+                found.add(tuple(x))
+                named.add(str(item_id))
+    return len(found), sorted(named)
+
+
+def test_decontamination_by_proximity(spark, sf):
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    edits = [" ".join(passage)]
+    for k in range(10):
+        edits.append(" ".join([*passage[:k], "NOWHERE", *passage[k + 1 :]]))
+        edits.append(" ".join([*passage[:k], *passage[k + 1 :]]))
+        edits.append(" ".join([*passage[:k], "x", *passage[k : k + 3], "y", *passage[k + 4 :]]))
+        edits.append(" ".join([passage[k], *passage[:3], "x y z", *passage[5:]]) + " é")
+    # "alpha" and "beta" are the rarest in the other documents, "iota" and "kappa" common.
+    edits += ["Kappa iota theta " * 3, None, "", "alpha " * 20]
+    base = [r.text or "" for r in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").limit(20).collect()]
+    for j, t in enumerate(base):
+        v = t.split()
+        edits.append(" ".join(x if i % 7 != j % 7 else "zzz" for i, x in enumerate(v)))
+        edits.append(" ".join(x for i, x in enumerate(v) if i % 5 != j % 5))
+    items = [(1, " ".join([*passage, "lambda"])), (2, "word"), (3, "alpha BETA absentword gamma delta"), (4, None)]
+    items += [(10 + j, t) for j, t in enumerate(base)] + [(40, "alpha alpha alpha beta"), (41, "alpha beta gamma")]
+    rows = spark.createDataFrame(list(enumerate(edits)), "doc_id long, text string")
+    found = decontam.matches(rows, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {r.doc_id: (r.n_near, r.near_items) for r in found}
+    assert got == {i: near_brute(t, items) for i, t in enumerate(edits)}
+    # A word that is in no document: no window of the passage has all its terms.
+    alone = spark.createDataFrame([(1, edits[1])], "doc_id long, text string")
+    few = spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string")
+    assert [(r.n_hit, r.n_near) for r in decontam.matches(alone, few).collect()] == [(0, 1)]
+
+
+def test_decontamination_near_query(spark, sf):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(40).collect()}
+    got = {r.doc_id: (r.n_near, r.near_items) for r in queries.QUERIES["op6_decontamination_near"](spark, sf).collect()}
+    want = {i: near_brute(t, items) for i, t in texts.items()}
+    assert {i: got[i] for i in texts} == {i: (k, ",".join(names)) for i, (k, names) in want.items()}
+
+
 def test_simhash_neighbours_and_next(spark, sf, docs):
     rows = {r.doc_id: r for r in queries.QUERIES["op9_fingerprints"](spark, sf).collect()}
     down = sorted(docs, reverse=True)
