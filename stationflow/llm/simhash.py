@@ -37,7 +37,7 @@ def fingerprint(total: Column) -> Column:
     """The sign of every bit's vote, from the sums of ``votes`` and the sum of all weights."""
     bits = F.lit(0).cast("long")
     for i in range(BITS):
-        s = F.col(f"s{i % 32}")
+        s = F.coalesce(F.col(f"s{i % 32}"), F.lit(0).cast("long"))  # no term, no vote
         count = F.shiftrightunsigned(s, 32) if i >= 32 else s.bitwiseAND((1 << 32) - 1)
         bits = bits.bitwiseOR(F.shiftleft((2 * count > total).cast("long"), i))
     return bits

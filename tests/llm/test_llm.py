@@ -274,6 +274,17 @@ def test_simhash_neighbours_and_next(spark, sf, docs):
             assert r.n_near == near - 1
 
 
+def test_texts_without_words_have_fingerprint_0(spark, odd):
+    rows = simhash.fingerprints(odd, every=1).collect()
+    assert all(r.f is not None and r.edited_f is not None and r.next_f is not None for r in rows)
+    by_id = {r.doc_id: r for r in rows}
+    assert [by_id[i].f for i in (1, 2)] == [0, 0] and [by_id[i].n_near for i in (1, 2)] == [1, 1]
+    assert by_id[2].next_f == 0 and by_id[3].next_f in (0, by_id[3].f) and by_id[1].edited_f == 0
+    assert by_id[3].f == by_id[4].f != 0
+    white = spark.createDataFrame([(1, " \n\t"), (2, None)], "doc_id long, text string")
+    assert [(r.f, r.edited_f, r.next_f, r.n_near) for r in simhash.fingerprints(white, every=1).collect()] == [(0, 0, 0, 1)] * 2
+
+
 def sets(docs, n):
     fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     for doc_id, text in docs:
