@@ -224,6 +224,18 @@ def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op9_fingerprints_near(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints near those of every hundredth row; ``op9_fingerprints`` has the rows of each."""
+    links, _ = simhash.near_prints(table(spark, sf, "documents"))
+    return links.select(
+        simhash.hexed(F.col("f")).alias("fingerprint"),
+        simhash.hexed(F.col("found")).alias("near_fingerprint"),
+        "differ",
+        "copies",
+    )
+
+
 @query()
 def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data of each document."""

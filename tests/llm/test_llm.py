@@ -274,6 +274,20 @@ def test_simhash_neighbours_and_next(spark, sf, docs):
             assert r.n_near == near - 1
 
 
+def test_simhash_near_prints_name_the_rows(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    links, members = simhash.near_prints(docs, radius=5, every=10)
+    rows = [(r.f, r.doc_id) for r in members.collect()]
+    assert sorted(i for _, i in rows) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    of = {}
+    for f, i in rows:
+        of.setdefault(f, set()).add(i)
+    bits = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    got = {(r.f, r.found): (r.differ, r.copies) for r in links.collect()}
+    asked = {f for f, i in rows if i % 10 == 0}
+    assert got == {(q, f): (bits(q, f), len(of[f])) for q in asked for f in of if bits(q, f) <= 5}
+
+
 def test_texts_without_words_have_fingerprint_0(spark, odd):
     rows = simhash.fingerprints(odd, every=1).collect()
     assert all(r.f is not None and r.edited_f is not None and r.next_f is not None for r in rows)
