@@ -11,6 +11,7 @@ from stationflow.llm import (
     decontam,
     jaccard,
     lattice,
+    merkle,
     mixing,
     pii,
     secrets,
@@ -19,7 +20,7 @@ from stationflow.llm import (
     toxicity,
     urls,
 )
-from stationflow.llm.shared import span_list
+from stationflow.llm.shared import UPPER, span_list
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -304,3 +305,67 @@ def op4_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+_PART = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_PART.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_LOWER = f"translate(text, '{UPPER}', '{UPPER.lower()}')"
+# Nodes of all trees of a table (tree, idx, h, n), level by level.
+_NODES = """
+        SELECT tree, 0 AS level, idx, h, n FROM {leaves}
+        UNION ALL
+        SELECT tree, level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (n + 7) // 8
+        FROM {nodes} WHERE n > 1 GROUP BY tree, level, n, idx // 8"""
+_SIDES = """
+        SELECT *, coalesce(string_agg(h, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lefts,
+               coalesce(string_agg(h, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rights
+        FROM {nodes} WINDOW run AS (PARTITION BY tree, level, idx // 8 ORDER BY idx)"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE bits AS (
+        SELECT i, i AS c, 0 AS k FROM range(256) t(i)
+        UNION ALL
+        SELECT i, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM bits WHERE k < 8),
+    steps AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+    hashed AS (
+        SELECT doc_id, coalesce('1' || lang, '0') AS tree, {_LEAF.format(text="text")} AS leaf,
+               CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT for x in string_split(CAST(doc_id AS VARCHAR), '')]),
+                             lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INT) + 1])), 4294967295) % 3 = 0
+                    THEN {_LEAF.format(text=_LOWER)} ELSE {_LEAF.format(text="text")} END AS claimed
+        FROM documents, steps),
+    leaves AS (
+        SELECT *, leaf AS h, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS idx,
+               count(*) OVER (PARTITION BY tree) AS n
+        FROM hashed),
+    nodes AS ({_NODES.format(leaves="leaves", nodes="nodes")}),
+    sides AS ({_SIDES.format(nodes="nodes")}),
+    tops AS (
+        SELECT '' AS tree, tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n
+        FROM nodes WHERE n = 1),
+    upper_nodes AS ({_NODES.format(leaves="tops", nodes="upper_nodes")}),
+    upper_sides AS ({_SIDES.format(nodes="upper_nodes")}),
+    walk AS (
+        SELECT tree, idx AS leaf_idx, 0 AS level, idx, claimed AS cur, '' AS proof FROM leaves
+        UNION ALL
+        SELECT w.tree, leaf_idx, w.level + 1, w.idx // 8, sha256(lefts || cur || rights), proof || lefts || rights
+        FROM walk w JOIN sides s ON s.tree = w.tree AND s.level = w.level AND s.idx = w.idx WHERE s.n > 1),
+    climbed AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY tree, leaf_idx ORDER BY level DESC) = 1),
+    upper_walk AS (
+        SELECT c.tree AS name, leaf_idx, 0 AS level, t.idx, cur, proof, t.h AS subroot FROM climbed c JOIN tops t ON t.name = c.tree
+        UNION ALL
+        SELECT name, leaf_idx, w.level + 1, w.idx // 8, sha256(lefts || cur || rights), proof || lefts || rights, subroot
+        FROM upper_walk w JOIN upper_sides s ON s.level = w.level AND s.idx = w.idx WHERE s.n > 1),
+    ends AS (SELECT * FROM upper_walk QUALIFY row_number() OVER (PARTITION BY name, leaf_idx ORDER BY level DESC) = 1)
+    SELECT doc_id, leaf, subroot, u.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = u.h AS verified
+    FROM leaves l JOIN ends e ON e.name = l.tree AND e.leaf_idx = l.idx, (SELECT h FROM upper_nodes WHERE n = 1) u
+    """
+)
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Place of each document in the dataset's Merkle tree; a third are claimed with a changed text."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    text = F.when(tampered, F.translate("text", UPPER, UPPER.lower())).otherwise(F.col("text"))
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    rows = merkle.leaf_rows(table(spark, sf, "documents"), fields, claimed={"text": text})
+    return merkle.prove(merkle.build(rows))
