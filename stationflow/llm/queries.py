@@ -13,6 +13,7 @@ from stationflow.llm import (
     lattice,
     merkle,
     mixing,
+    packing,
     pii,
     secrets,
     simhash,
@@ -369,3 +370,12 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     rows = merkle.leaf_rows(table(spark, sf, "documents"), fields, claimed={"text": text})
     return merkle.prove(merkle.build(rows))
+
+
+@query()
+def op13_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Token ids of all documents packed into sequences of 2048."""
+    import public_tokenizers
+
+    files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+    return packing.pack(packing.pieces(table(spark, sf, "documents"), *files))
