@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.llm import (
+    collocations,
     decontam,
     jaccard,
     lattice,
@@ -379,3 +380,45 @@ def op13_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 
     files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
     return packing.pack(packing.pieces(table(spark, sf, "documents"), *files))
+
+
+@query(
+    f"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents),
+    worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+    grams AS (
+        SELECT lang, k AS words, array_to_string(w[i + 1:i + k], ' ') AS phrase
+        FROM (SELECT lang, w, k, unnest(range(len(w) - k + 1)) AS i FROM worded, range(1, 4) t(k) WHERE len(w) >= k)),
+    counts AS (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY ALL),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE words = 1 GROUP BY lang),
+    candidates AS (SELECT * FROM counts WHERE words > 1 AND f >= 10),
+    cuts AS (
+        SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+               array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail
+        FROM candidates, range(1, 3) t(k) WHERE k < words),
+    frequent AS MATERIALIZED (SELECT lang, phrase, f FROM counts WHERE f >= 10),
+    scored AS (
+        SELECT c.lang, c.phrase, a, l.f AS l, r.f AS r,
+               CAST(CAST(a AS HUGEINT) * a * 1000000 // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+        FROM cuts c
+        JOIN frequent l ON l.lang = c.lang AND l.phrase = head
+        JOIN frequent r ON r.lang = c.lang AND r.phrase = tail
+        QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1),
+    around AS (
+        SELECT lang, phrase, max(f) AS longer FROM (
+            SELECT lang, unnest([regexp_replace(phrase, ' [^ ]*$', ''), regexp_replace(phrase, '^[^ ]* ', '')]) AS phrase, f
+            FROM candidates WHERE words = 3)
+        GROUP BY ALL),
+    kept AS (
+        SELECT s.* FROM scored s LEFT JOIN around x ON x.lang = s.lang AND x.phrase = s.phrase
+        WHERE longer IS NULL OR 100 * longer < 50 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+    """
+)
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """Phrases of two and three words that stand together, by language."""
+    return collocations.collocations(table(spark, sf, "documents"))
