@@ -4,7 +4,8 @@ A task keeps the counts of its texts in a trie over word ids: hash containers fo
 follows a first word, burst by the second word once they are large. When there are too
 many entries, whole subtrees leave as sorted runs, dealt by prefix partition: the first two
 words, and for three words one of ``SPLIT`` shares of the third, so that a hot pair spreads.
-A prefix partition merges its runs and keeps what is frequent. As no part of a phrase is
+A run names its words once and its phrases by them. A prefix partition merges its runs and
+keeps what is frequent. As no part of a phrase is
 rarer than the phrase, everything later needs only these.
 """
 
@@ -25,16 +26,20 @@ from stationflow.llm.shared import bound_batches, store
 # Bits of a word id; three ids make one key.
 BITS = 21
 MASK = (1 << BITS) - 1
-# Entries of a container before it bursts, and of all tries of a task before some leave.
-BURST = 4_096
+# Entries of a container before it bursts, the containers it bursts into (each for some of the
+# second words), and the entries of all tries of a task before some leave.
+BURST, FAN = 4_096, 64
 ENTRIES = 1_000_000
 # Words, and bytes of words, that a task tells apart before everything leaves.
 WORDS, WORD_BYTES = 500_000, 64 << 20
 # Bytes of text that are counted at a time.
 SLICE = 1 << 20
-# Bytes of text for each prefix partition.
-PART_BYTES = 1 << 20
+# Prefix partitions: some at least, so that there are no more runs than entries times a
+# constant, and one for so many bytes of text.
+PARTS, PART_BYTES = 256, 4 << 20
 SPLIT = 64
+# Entries of a prefix partition before equal ones are added up.
+PENDING = 2_000_000
 # Shares of a language that are ranked by themselves before the last ranking.
 SHARES = 64
 
@@ -65,8 +70,8 @@ class Words(dict):
         return len(self.names) > WORDS or self.bytes > WORD_BYTES
 
 
-class Burst(dict):
-    """A burst container: second word to a container of third words."""
+class Burst(list):
+    """A burst container: ``FAN`` containers, each for some of the second words."""
 
 
 class HatTrie:
@@ -91,14 +96,11 @@ class HatTrie:
             if node is None:
                 node = self.first[word] = {}
             if type(node) is Burst:
-                grown = 0
+                before = sum(map(len, node))
                 for key, n in zip(rest[low:high], counts[low:high]):
-                    below = node.get(key >> BITS)
-                    if below is None:
-                        below = node[key >> BITS] = {}
-                    before = len(below)
-                    below[key & MASK] = below.get(key & MASK, 0) + n
-                    grown += len(below) - before
+                    below = node[(key >> BITS) % FAN]
+                    below[key] = below.get(key, 0) + n
+                grown = sum(map(len, node)) - before
             else:
                 before, get = len(node), node.get
                 for key, n in zip(rest[low:high], counts[low:high]):
@@ -111,9 +113,9 @@ class HatTrie:
 
     @staticmethod
     def _burst(container: dict) -> Burst:
-        node = Burst()
+        node = Burst({} for _ in range(FAN))
         for key, n in container.items():
-            node.setdefault(key >> BITS, {})[key & MASK] = n
+            node[(key >> BITS) % FAN][key] = n
         return node
 
     def take(self, keep: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,10 +126,8 @@ class HatTrie:
                 break
             self.size -= self.sizes.pop(word)
             node = self.first.pop(word)
-            some = node.items() if type(node) is Burst else [(None, node)]
-            for second, below in some:
-                lead = (word << 2 * BITS) | ((second or 0) << BITS)
-                keys.append(np.fromiter(below.keys(), np.int64, len(below)) | lead)
+            for below in node if type(node) is Burst else [node]:
+                keys.append(np.fromiter(below.keys(), np.int64, len(below)) | (word << 2 * BITS))
                 counts.append(np.fromiter(below.values(), np.int64, len(below)))
         if not keys:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -158,6 +158,16 @@ def slices(text: bytes) -> Iterator[bytes]:
         low = high
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones and so on, which packs better."""
+    return numbers.reshape(-1).view(np.uint8).reshape(numbers.size, -1).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type, n: int, at: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T.copy().view(kind).reshape(n)
+
+
 class Counter:
     """The tries of a task, by group, and the runs that leave them."""
 
@@ -225,27 +235,78 @@ class Counter:
         if not len(keys):
             return
         columns = [keys >> 2 * BITS, (keys >> BITS) & MASK, keys & MASK]
-        used = np.unique(np.concatenate(columns))
+        used = np.unique(np.concatenate([[0], *columns]))
         names = [self.words.names[i] for i in used.tolist()]
-        columns = [np.searchsorted(used, c) for c in columns]
+        order = sorted(range(len(names)), key=names.__getitem__)
         rank = np.empty(len(names), np.int64)
-        rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
+        rank[order] = np.arange(len(names))
+        # From now on words are their rank; the empty one is first.
+        columns = [rank[np.searchsorted(used, c)] for c in columns]
+        names = [names[i] for i in order]
         hashes = np.array([zlib.crc32(w) for w in names], np.uint64)
-        none = hashes[0] if used[0] == 0 else None
-        third = hashes[columns[2]]
-        share = third % np.uint64(SPLIT) if none is None else np.where(third == none, 0, third % np.uint64(SPLIT) + np.uint64(1))
+        share = np.where(columns[2] > 0, hashes[columns[2]] % np.uint64(SPLIT) + np.uint64(1), np.uint64(0))
         part = mix(mix(hashes[columns[0]] + np.uint64(zlib.crc32(group.encode()) << 32)) + hashes[columns[1]] * np.uint64(31))
-        part = (mix(part + share.astype(np.uint64)) % np.uint64(self.parts)).astype(np.int64)
-        order = np.lexsort((rank[columns[2]], rank[columns[1]], rank[columns[0]], part))
+        part = (mix(part + share) % np.uint64(self.parts)).astype(np.int64)
+        order = np.lexsort((columns[0] << 2 * BITS | columns[1] << BITS | columns[2], part))
         part, counts = part[order], counts[order]
-        spaced = [b" " + w if w else b"" for w in names]
-        a, b, c = (x[order].tolist() for x in columns)
-        phrases = [names[i] + spaced[j] + spaced[k] for i, j, k in zip(a, b, c)]
+        columns = np.stack([c[order] for c in columns])
         cuts = (np.flatnonzero(np.diff(part)) + 1).tolist()
         pack = zstandard.ZstdCompressor(level=1).compress
         for low, high in zip([0, *cuts], [*cuts, len(part)]):
-            run = (high - low).to_bytes(8, "little") + counts[low:high].tobytes()
-            yield int(part[low]), group, pack(run + b"\n".join(phrases[low:high]))
+            own, ids = np.unique(columns[:, low:high], return_inverse=True)
+            words = b"\n".join([names[i] for i in own.tolist()])
+            # First words ascend, so their steps are small.
+            ids = ids.reshape(3, -1).astype("<u4")
+            ids[0, 1:] = np.diff(ids[0])
+            run = (high - low).to_bytes(8, "little") + planes(counts[low:high]) + planes(ids)
+            yield int(part[low]), group, pack(run + words)
+
+
+class Merge:
+    """Runs of one prefix partition, added up."""
+
+    def __init__(self):
+        self.words: dict[bytes, int] = {}
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.pending = 0
+
+    def add(self, run: bytes) -> None:
+        n = int.from_bytes(run[:8], "little")
+        counts = from_planes(run, np.int64, n, 8)
+        ids = from_planes(run, np.uint32, 3 * n, 8 + 8 * n).reshape(3, n).astype(np.int64)
+        ids[0] = np.cumsum(ids[0])
+        known = self.words
+        own = np.array([known.setdefault(w, len(known)) for w in run[8 + 20 * n :].split(b"\n")], np.int64)
+        self.waiting.append((own[ids], counts))
+        self.pending += n
+        if self.pending > PENDING:
+            self.total()
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct phrases as three word numbers each, and their counts."""
+        ids = np.concatenate([i for i, _ in self.waiting], axis=1)
+        counts = np.concatenate([c for _, c in self.waiting])
+        # Two numbers of 32 bits fit in one of 64, so pairs are numbered first.
+        pairs, pair = np.unique(ids[0] << 32 | ids[1], return_inverse=True)
+        keys, at = np.unique(pair << 32 | ids[2], return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, at, counts)
+        two = pairs[keys >> 32]
+        ids = np.stack([two >> 32, two & 0xFFFFFFFF, keys & 0xFFFFFFFF])
+        self.waiting = [(ids, sums)]
+        # As many again may come, so that adding up costs no more than twice.
+        self.pending = 0
+        return ids, sums
+
+    def frequent(self, least: int) -> tuple[list[bytes], list[int], int]:
+        """Phrases of at least ``least`` occurrences, their counts, and the number of all words."""
+        ids, sums = self.total()
+        names = list(self.words)
+        none = self.words.get(b"", -1)
+        words = int(sums[ids[1] == none].sum())
+        often = sums >= least
+        phrases = [b" ".join([names[i] for i in row if i != none]) for row in ids[:, often].T.tolist()]
+        return phrases, sums[often].tolist(), words
 
 
 def runs(docs: DataFrame, parts: int, most: int, text_col: str, by: str) -> DataFrame:
@@ -291,15 +352,13 @@ def merged(found: DataFrame, least: int) -> DataFrame:
 
     names = ["lang", "phrase", "words", "f"]
 
-    def rows(lang: str, counts: dict[bytes, int]) -> pa.RecordBatch:
-        frequent = [(p, n) for p, n in counts.items() if n >= least]
-        total = sum(n for p, n in counts.items() if b" " not in p)
-        phrases = [p for p, _ in frequent]
+    def rows(lang: str, merge: Merge) -> pa.RecordBatch:
+        phrases, counts, words = merge.frequent(least)
         columns = [
-            pa.array([lang] * (len(frequent) + 1), pa.string()),
+            pa.array([lang] * (len(phrases) + 1), pa.string()),
             pa.array([*phrases, None], pa.binary()).cast(pa.string()),
             pa.array([*[p.count(b" ") + 1 for p in phrases], 0], pa.int32()),
-            pa.array([*[n for _, n in frequent], total], pa.int64()),
+            pa.array([*counts, words], pa.int64()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -307,24 +366,16 @@ def merged(found: DataFrame, least: int) -> DataFrame:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        now, counts = None, {}
+        now, part = None, None
         for b in batches:
-            for part, lang, run in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                if (part, lang) != now:
-                    if now:
-                        yield rows(now[1], counts)
-                    now, counts = (part, lang), {}
-                run = unpack(run.as_py())
-                end = 8 + 8 * int.from_bytes(run[:8], "little")
-                numbers, phrases = np.frombuffer(run[8:end], np.int64).tolist(), run[end:].split(b"\n")
-                if counts:
-                    get = counts.get
-                    for phrase, n in zip(phrases, numbers):
-                        counts[phrase] = get(phrase, 0) + n
-                else:
-                    counts = dict(zip(phrases, numbers))
-        if now:
-            yield rows(now[1], counts)
+            for key, run in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), b.column(2)):
+                if key != now:
+                    if part:
+                        yield rows(now[1], part)
+                    now, part = key, Merge()
+                part.add(unpack(run.as_py()))
+        if part:
+            yield rows(now[1], part)
 
     dealt = found.repartition("part").sortWithinPartitions("part", "lang")
     return dealt.mapInArrow(merge, "lang string, phrase string, words int, f long")
@@ -357,7 +408,7 @@ def collocations(
         raise ValueError("phrases have two or three words")
     bound_batches(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    parts = max(64, size // PART_BYTES)
+    parts = max(PARTS, size // PART_BYTES)
     counts = store(merged(runs(docs, parts, most, text_col, by), least), "phrases")
     totals = counts.filter("phrase IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = counts.filter("phrase IS NOT NULL")

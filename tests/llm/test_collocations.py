@@ -60,7 +60,7 @@ LONG = "in the beginning was the word, and so on " * 3_000
 def test_equals_a_plain_count(spark, monkeypatch, small):
     if small:
         # Containers burst, subtrees leave, ids start anew and long texts are sliced.
-        for name, value in {"BURST": 3, "ENTRIES": 50, "WORDS": 30, "SLICE": 40, "SPLIT": 2, "SHARES": 3}.items():
+        for name, value in {"BURST": 3, "ENTRIES": 50, "WORDS": 30, "SLICE": 40, "SPLIT": 2, "SHARES": 3, "FAN": 2, "PENDING": 20, "PARTS": 5}.items():
             monkeypatch.setattr(ops, name, value)
     rows = [*texts(120), (None, None), ("en", ""), ("en", "..."), *[("fr", "hot pair x, hot pair y. hot pair z")] * 20]
     rows += [("long", LONG[: 8_000 if small else None])]
