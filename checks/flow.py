@@ -7,7 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stationflow.operators import flow as ops
-from stationflow.sources.tables import store
+from stationflow.sources.tables import scratch_dir, store
+from stationflow.streaming import flow as streaming
+from stationflow.streaming.ingest import drain
 
 from .registry import query
 from .tables import HORIZON_HOURS, SPLIT, status, trips, using, weather, weather_once
@@ -66,11 +68,9 @@ def net_flow_single(spark, sf):
 
 @query(using("trips weather", """
     SELECT w.ts_hour, w.main, w.temp, t.ride_id, t.start_station_id
-    FROM weather w LEFT JOIN (SELECT * FROM trips WHERE rideable_type = 'purchase') t
-      ON w.ts_hour = t.ts_hour"""))
+    FROM weather w LEFT JOIN trips t ON w.ts_hour = t.ts_hour"""))
 def weather_with_trips(spark, sf):
-    bought = trips(spark, sf).filter(F.col("rideable_type") == "purchase")
-    joined = ops.weather_with_trips(store(weather(spark, sf), "weather"), bought)
+    joined = ops.weather_with_trips(store(weather(spark, sf), "weather"), trips(spark, sf))
     return joined.select("ts_hour", "main", "temp", "ride_id", "start_station_id")
 
 
@@ -103,3 +103,37 @@ def holdout_cutoff(spark, sf):
 def level_to_flow(spark, sf):
     rows = recent(spark, sf).select("station_id", "ts_hour", "num_bikes_available")
     return ops.level_to_flow(rows, ts="ts_hour")
+
+
+# The feed of the streamed rides: a file for four days; every tenth ride comes a file late, every
+# seventh comes again in the next file.
+DROP_DAYS, STREAM_DELAY_DAYS = 4, 9
+
+
+def drop_rides(spark, sf):
+    """Folder of the feed. Files are written one after the other, as the stream takes them by age."""
+    rides = trips(spark, sf).select(
+        "ride_id", "started_at", "ended_at", "start_station_id", "end_station_id"
+    )
+    days = F.date_diff(F.to_date("started_at"), F.lit("2024-01-01").cast("date"))
+    first = F.floor(days / DROP_DAYS).cast("int") + F.when(F.col("ride_id") % 10 == 0, 1).otherwise(0)
+    again = F.when(F.col("ride_id") % 7 == 0, F.array(first, first + 1)).otherwise(F.array(first))
+    rides = store(rides.withColumn("drop", F.explode(again)), "rides")
+    folder = scratch_dir(spark, "feed")
+    for n in range(rides.agg(F.max("drop")).first()[0] + 1):
+        some = rides.filter(F.col("drop") == n).drop("drop").coalesce(1)
+        some.write.mode("append").parquet(folder)
+    return folder, rides.drop("drop").schema
+
+
+@query(using("busy", f"""
+    SELECT * FROM busy WHERE ts_hour + INTERVAL 1 HOUR <= (
+        SELECT max(greatest(date_trunc('second', started_at), date_trunc('second', ended_at)))
+        FROM trips) - INTERVAL {STREAM_DELAY_DAYS} DAY"""))
+def net_flow_stream(spark, sf):
+    """Net flow of a drained stream with late and repeated rides: the hours that are final."""
+    folder, schema = drop_rides(spark, sf)
+    rides = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = scratch_dir(spark, "flow-stream")
+    drain(streaming.net_flow_stream(rides, f"{STREAM_DELAY_DAYS} days"), out, f"{out}-checkpoint")
+    return spark.read.parquet(out)

@@ -23,6 +23,12 @@ from .tables import (
     weather_once,
 )
 
+# One additive and one multiplicative set.
+SCORED_GRID = {
+    "changepoint_prior_scale": [0.05],
+    "seasonality_prior_scale": [1],
+    "seasonality_mode": ["additive", "multiplicative"],
+}
 _MEASURES = ["mse", "rmse", "mae", "mdape", "smape", "coverage"]
 
 
@@ -199,3 +205,35 @@ def tuned_parameters(spark, sf):
     rows = panel(spark, sf)
     tested = ops.fit_predict(rows, folds(rows), horizon=HORIZON)
     return ops.select_best(ops.forecast_metrics(tested, ["station_id", "param_id"]))
+
+
+@query(using("panel", """
+    SELECT station_id, hour, round((coalesce(s, 0) + 24 * hour_mean) / (coalesce(n, 0) + 24), 6) AS yhat,
+           CAST(coalesce(n, 0) AS BIGINT) AS known_rows
+    FROM (SELECT DISTINCT station_id FROM panel) JOIN hours ON true
+    LEFT JOIN (SELECT station_id, hour, sum(y) AS s, count(y) AS n FROM short GROUP BY 1, 2) c USING (station_id, hour)""",
+    # Station 3 has a day of history, station 4 none.
+    short="""SELECT station_id, ds, hour, CASE WHEN station_id <> 4 THEN y END AS y FROM panel
+             WHERE station_id <> 3 OR CAST(ds AS DATE) = DATE '2024-01-02'""",
+    hours="""SELECT CAST(h AS DOUBLE) AS hour, (coalesce(s, 0) + 24 * m) / (coalesce(n, 0) + 24) AS hour_mean
+             FROM range(24) t(h)
+             LEFT JOIN (SELECT hour, sum(y) AS s, count(y) AS n FROM short GROUP BY 1) x ON x.hour = h,
+                  (SELECT coalesce(avg(y), 0) AS m FROM short)"""))
+def shrunken_hour_means(spark, sf):
+    """Mean flow by station and hour that leans on wider means where history is short."""
+    rows = panel(spark, sf)
+    one_day = (F.col("station_id") != 3) | (F.to_date("ds") == F.lit("2024-01-02").cast("date"))
+    short = rows.filter(one_day).withColumn("y", F.when(F.col("station_id") != 4, F.col("y")))
+    return _rounded(ops.shrunken_means(short), ["yhat"])
+
+
+@query()
+def forecast_from_stored_models(spark, sf):
+    """Backtest rows scored from coefficient rows of every station and fold."""
+    rows = panel(spark, sf)
+    cuts = folds(rows)
+    models = store(ops.fit_coefficients(rows, cuts, SCORED_GRID), "models")
+    tests = ops.cv_test_rows(rows, cuts, HORIZON).drop("cutoff")
+    return ops.score(tests, models.withColumnRenamed("fold", "of_fold"), models=["of_fold", "param_id"]).filter(
+        F.col("of_fold") == F.col("fold")
+    ).drop("of_fold")

@@ -56,13 +56,9 @@ def trips_with_weather_null_safe(spark, sf):
 
 @query(using("rides", """
     SELECT date, main, time, round(avg(temp), 6) AS avg_temp, count(ride_id) AS ride_count
-    FROM rides WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'
-    GROUP BY date, main, time"""))
+    FROM rides GROUP BY date, main, time"""))
 def rides_temp_hourly(spark, sf):
-    hourly = _hourly(spark, sf).filter(
-        F.col("date").between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-25").cast("date"))
-    )
-    return ops.rides_temp_hourly(hourly).withColumn("avg_temp", F.round("avg_temp", 6))
+    return ops.rides_temp_hourly(_hourly(spark, sf)).withColumn("avg_temp", F.round("avg_temp", 6))
 
 
 @query(using("by_day", "SELECT * FROM by_day"))
@@ -139,6 +135,16 @@ def weather_transition(spark, sf):
     return change.withColumn("avg_percent_change", F.round("avg_percent_change", 5))
 
 
+@query(using("by_day", """
+    SELECT main, prev_main, round(avg(percent_change), 5) AS avg_percent_change
+    FROM (SELECT *, lag(main) OVER (ORDER BY date NULLS FIRST, main NULLS FIRST) AS prev_main FROM shares)
+    WHERE main <> prev_main GROUP BY 1, 2""", shares=_SHARES.format(k="", source="by_day")))
+def weather_transition_city(spark, sf):
+    """The same over the whole city: one order of all rows."""
+    change = ops.weather_transition(ops.weather_share(_by_day(spark, sf)), None)
+    return change.withColumn("avg_percent_change", F.round("avg_percent_change", 5))
+
+
 _GOOD = "main IN ('Clear', 'Clouds')"
 _BAD = "main IN ('Rain', 'Snow', 'Thunderstorm', 'Mist', 'Smoke', 'Drizzle', 'Haze', 'Fog')"
 _GOOD_BAD = f"""

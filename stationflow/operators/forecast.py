@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -253,13 +254,107 @@ def fit_predict(
     return rows.groupBy(*k).cogroup(cuts.groupBy(*k)).applyInPandas(fit, out)
 
 
-def _series_fitter(sets, regressors, horizon, z, k):
+def fit_coefficients(
+    series: DataFrame,
+    folds: DataFrame,
+    grid: Mapping[str, Sequence] = PARAM_GRID,
+    k: Sequence[str] = ("station_id",),
+    regressors: Sequence[str] = REGRESSORS,
+) -> DataFrame:
+    """The models of :func:`fit_predict` as rows: keys, fold, ``param_id``, ``pos``, ``term``, ``value``.
+
+    A model has one row per term of :func:`model_terms`; a season too long for the
+    history has zeros. :func:`score` needs nothing else to forecast any hour.
+    """
+    k = list(k)
+    fit = _series_fitter(combinations(grid), list(regressors), None, 1.0, k, model_terms(regressors))
+    keys = [f"{f.name} {f.dataType.simpleString()}" for f in series.select(*k).schema]
+    out = ", ".join(keys + ["fold int", "param_id int", "pos int", "term string", "value double"])
+    rows = series.select(*k, "ds", F.col("y").cast("double").alias("y"), *regressors)
+    cuts = folds.select(
+        *[F.col(c).alias(c) for c in k], F.col("fold").cast("int").alias("fold"), "cutoff"
+    )
+    return rows.groupBy(*k).cogroup(cuts.groupBy(*k)).applyInPandas(fit, out)
+
+
+# Seasons: days, waves and the days of history they need.
+BANDS = ((1.0, 4, 2), (7.0, 3, 14), (365.25, 10, 730))
+# Changepoints over the first 80 % of the history.
+CHANGEPOINTS, CHANGE_RANGE = 25, 0.8
+_SETTINGS = ("origin", "span", "scale", "spread", "multiplicative", "offset")
+
+
+def model_terms(regressors: Sequence[str] = REGRESSORS) -> list[str]:
+    """Names of a stored model's values in their order."""
+    trend = ["trend", "slope", *[f"change {i}" for i in range(1, CHANGEPOINTS + 1)]]
+    waves = [
+        f"{kind} {n} of {days:g} days"
+        for days, most, _ in BANDS
+        for kind in ("sin", "cos")
+        for n in range(1, most + 1)
+    ]
+    return [*_SETTINGS, *trend, *waves, *[f"of {r}" for r in regressors]]
+
+
+def score(
+    rows: DataFrame,
+    coefficients: DataFrame,
+    k: Sequence[str] = ("station_id",),
+    regressors: Sequence[str] = REGRESSORS,
+    interval_z: float = 1.2815515655446004,
+    models: Sequence[str] = ("fold", "param_id"),
+) -> DataFrame:
+    """Rows (keys, ``ds``, regressors) with the forecast of each stored model of their key.
+
+    A model is one array per key, and the forecast the product of its values with terms of the
+    row's time and regressors. Rows of keys without a model are left out; a NULL regressor
+    gives a NULL forecast.
+    """
+    terms = model_terms(regressors)
+    values = F.array_sort(F.collect_list(F.struct("pos", "value")))
+    stored = coefficients.groupBy(*k, *models).agg(
+        F.transform(values, lambda v: v["value"]).alias("_w")
+    )
+    at = {t: F.col("_w")[i] for i, t in enumerate(terms)}
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    day = F.timestamp_diff("SECOND", origin, F.col("ds")) / F.lit(float(DAY))
+    u = (F.col("_day") - at["origin"]) / at["span"]
+    trend = at["trend"] + at["slope"] * F.col("_u")
+    for i in range(1, CHANGEPOINTS + 1):
+        trend += at[f"change {i}"] * F.greatest(F.col("_u") - CHANGE_RANGE * i / CHANGEPOINTS, F.lit(0.0))
+    rest = at["offset"]
+    for days, most, _ in BANDS:
+        for n in range(1, most + 1):
+            angle = F.col("_day") * (2 * math.pi * n / days)
+            for kind, wave in (("sin", F.sin(angle)), ("cos", F.cos(angle))):
+                rest += at[f"{kind} {n} of {days:g} days"] * wave
+    for r in regressors:
+        rest += at[f"of {r}"] * F.col(r)
+    g, z = F.col("_g"), F.col("_z")
+    yhat = at["scale"] * F.when(at["multiplicative"] > 0, g * (1 + z)).otherwise(g + z)
+    spread = F.lit(interval_z) * at["spread"]
+    return (
+        rows.join(stored, list(k))
+        .withColumn("_day", day)
+        .withColumn("_u", u)
+        .withColumns({"_g": trend, "_z": rest})
+        .withColumn("yhat", yhat)
+        .withColumns({"yhat_lower": F.col("yhat") - spread, "yhat_upper": F.col("yhat") + spread})
+        .drop("_w", "_day", "_u", "_g", "_z")
+    )
+
+
+def _series_fitter(sets, regressors, horizon, z, k, terms=None):
     # Built as a closure so that workers need not have this package installed.
+    bands, changes, change_range = BANDS, CHANGEPOINTS, CHANGE_RANGE
+
     def fit(key, pdf, cuts):
         import numpy as np
         import pandas as pd
 
         columns = [*k, "fold", "param_id", "ds", "y", "yhat", "yhat_lower", "yhat_upper"]
+        if terms:
+            columns = [*k, "fold", "param_id", "pos", "term", "value"]
         pdf = pdf.sort_values("ds", kind="stable")
         day = pdf["ds"].to_numpy("datetime64[s]").astype("int64") / 86400.0
         y_all = pdf["y"].to_numpy(float)
@@ -280,15 +375,14 @@ def _series_fitter(sets, regressors, horizon, z, k):
             test = day > cut
             if horizon is not None:
                 test &= day <= cut + horizon
-            if train.sum() < 2 or not test.any():
+            if train.sum() < 2 or not (terms or test.any()):
                 continue
             t, y = day[train], y_all[train]
             span = max(t[-1] - t[0], 1e-9)
             scale = max(np.abs(y).max(), 1e-9)
             mean, sd = x_all[train].mean(axis=0), x_all[train].std(axis=0)
             sd[sd == 0] = np.inf
-            # 25 changepoints over the first 80 % of the history.
-            knots = np.linspace(0, 0.8, 26)[1:]
+            knots = np.linspace(0, change_range, changes + 1)[1:]
 
             def trend(d):
                 u = (d - t[0]) / span
@@ -296,7 +390,6 @@ def _series_fitter(sets, regressors, horizon, z, k):
                 return np.hstack([np.ones((len(u), 1)), u[:, None], hinges])
 
             def season(d):
-                bands = [(1.0, 4, 2), (7.0, 3, 14), (365.25, 10, 730)]
                 used = [waves(d, p, n) for p, n, least in bands if span >= least]
                 return np.hstack(used) if used else np.zeros((len(d), 0))
 
@@ -308,7 +401,7 @@ def _series_fitter(sets, regressors, horizon, z, k):
             # One product over the history serves every parameter set.
             gram, rhs, m = x.T @ x, x.T @ target, g_x.shape[1]
             for p in sets:
-                slope = np.r_[0.04, 0.04, np.full(25, p["changepoint_prior_scale"] ** -2.0)]
+                slope = np.r_[0.04, 0.04, np.full(changes, p["changepoint_prior_scale"] ** -2.0)]
                 other = np.r_[
                     np.full(s_x.shape[1], p["seasonality_prior_scale"] ** -2.0),
                     np.full(len(regressors), 0.01),
@@ -316,6 +409,7 @@ def _series_fitter(sets, regressors, horizon, z, k):
                 if p["seasonality_mode"] == "additive":
                     b = solve(gram, rhs, np.r_[slope, other])
                     fitted, ahead = x @ b, x_new @ b
+                    a, b = b[:m], b[m:]
                 else:
                     # y = g (1 + z b) is linear in b once the trend g is known.
                     a = solve(gram[:m, :m], rhs[:m], slope)
@@ -324,6 +418,20 @@ def _series_fitter(sets, regressors, horizon, z, k):
                     b = solve(gz.T @ gz, gz.T @ (target - g), other)
                     fitted, ahead = g * (1 + z_x @ b), g_ahead * (1 + z_new @ b)
                 spread = z * scale * np.std(target - fitted)
+                if terms:
+                    # Seasons that were not used are zero; regressors are not centred any more.
+                    waves_used = iter(b[: s_x.shape[1]])
+                    season_b = [
+                        next(waves_used) if span >= least else 0.0
+                        for _, n, least in bands
+                        for _ in range(2 * n)
+                    ]
+                    of = b[s_x.shape[1] :] / sd
+                    settings = [t[0], span, scale, spread, p["seasonality_mode"] != "additive", -of @ mean]
+                    values = np.r_[np.array(settings, float), a, season_b, of]
+                    part = pd.DataFrame({"pos": np.arange(len(terms)), "term": terms, "value": values})
+                    parts.append(part.assign(fold=int(fold), param_id=p["param_id"]))
+                    continue
                 yhat = scale * ahead
                 part = pd.DataFrame(
                     {
@@ -380,6 +488,84 @@ def select_best(metrics: DataFrame, k: Sequence[str] = ("station_id",)) -> DataF
     return metrics.filter(F.col("mae").isNotNull()).groupBy(*k).agg(best).select(*k, "_best.*")
 
 
+def with_status(best: DataFrame, series: DataFrame, k: Sequence[str] = ("station_id",)) -> DataFrame:
+    """A row for every key of ``series``: its best set, or NULLs where it has none, with ``status``.
+
+    ``tuned``; ``short`` if the history holds no fold; ``unknown`` under two known rows.
+    """
+    known = series.groupBy(*k).agg(F.count("y").alias("_known"))
+    status = (
+        F.when(F.col("param_id").isNotNull(), "tuned")
+        .when(F.col("_known") >= 2, "short")
+        .otherwise("unknown")
+    )
+    return known.join(best, list(k), "left").withColumn("status", status).drop("_known")
+
+
+def shrunken_means(
+    series: DataFrame,
+    k: Sequence[str] = ("station_id",),
+    groups: Sequence[str] = (),
+    strength: float = 24.0,
+) -> DataFrame:
+    """Mean flow of every key and hour of day, for keys of any history, also none.
+
+    The mean of key and hour leans on that of the key's group and hour, which leans on that of
+    the hour, which leans on that of all rows: ``strength`` rows of the wider mean are
+    added to each. Columns of ``groups`` follow from the key. Rows are counted once, by
+    key and hour; the wider sums are made of these. A table without any known row gives 0.
+    """
+    k, groups = list(k), list(groups)
+    cell = series.groupBy(*k, *groups, "hour").agg(F.sum("y").alias("s"), F.count("y").alias("n"))
+    # Every key has all hours, so a key without rows at an hour gets the wider mean.
+    hours = F.explode(F.sequence(F.lit(0), F.lit(23)).cast("array<double>")).alias("hour")
+    keys = series.select(*k, *groups).distinct().select(*k, *groups, hours)
+    found = keys.join(cell.select(*[F.col(c).alias(f"_{c}") for c in (*k, *groups, "hour")], "s", "n"),
+                      _same((*k, *groups, "hour")), "left").select(*k, *groups, "hour", _zero("s"), _zero("n"))
+    total = cell.agg(F.coalesce(F.try_divide(F.sum("s"), F.sum("n")), F.lit(0.0)).alias("m")).scalar()
+    wider = total
+    for level in (["hour"], *([[*groups, "hour"]] if groups else []), [*k, *groups, "hour"]):
+        finest = len(level) > 1 + len(groups)
+        sums = ("s", "n") if finest else ("_s", "_n")
+        if not finest:
+            means = cell.groupBy(*level).agg(F.sum("s").alias("_s"), F.sum("n").alias("_n"))
+            means = means.select(*[F.col(c).alias(f"_{c}") for c in level], "_s", "_n")
+            found = found.join(means, _same(level), "left").withColumns({c: _zero(c) for c in sums})
+            found = found.drop(*[f"_{c}" for c in level])
+        mean = (F.col(sums[0]) + strength * wider) / (F.col(sums[1]) + strength)
+        found = found.withColumn("yhat", mean).drop("_s", "_n")
+        wider = F.col("yhat")
+    return found.select(*k, "hour", "yhat", F.col("n").alias("known_rows"))
+
+
+def _same(columns: Sequence[str]) -> Column:
+    """Columns equal those with an underscore before, NULL being a value."""
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return same
+
+
+def _zero(c: str) -> Column:
+    return F.coalesce(c, F.lit(0)).alias(c)
+
+
+def attach_or_fall_back(
+    holdout: DataFrame, forecast: DataFrame, means: DataFrame, k: Sequence[str] = ("station_id",)
+) -> DataFrame:
+    """Every holdout row with its model's forecast, or else the shrunken mean; ``source`` says which."""
+    forecast = forecast.groupBy(*k, "ds").agg(F.min("yhat").alias("_model"))
+    joined = holdout.join(forecast, [*k, "ds"], "left").join(
+        means.select(*k, "hour", F.col("yhat").alias("_mean")), [*k, "hour"], "left"
+    )
+    source = F.when(F.col("_model").isNotNull(), "model").when(F.col("_mean").isNotNull(), "mean")
+    return (
+        joined.withColumns({"yhat": F.coalesce("_model", "_mean"), "source": source})
+        .withColumn("residual", F.col("yhat") - F.col("y"))
+        .drop("_model", "_mean")
+    )
+
+
 def attach_forecast(
     holdout: DataFrame, forecast: DataFrame, k: Sequence[str] = ("station_id",)
 ) -> DataFrame:

@@ -54,19 +54,15 @@ def previous(df: DataFrame, order: Sequence[Column], columns: Mapping[str, str])
     """
     rows = sorted_ranges(df, order)
     here = W.partitionBy("_range").orderBy("_at")
-    ends = rows.groupBy("_range").agg(
-        *[F.max_by(F.struct(F.col(c)), "_at").alias(n) for n, c in columns.items()]
-    )
-    # As many rows as there are ranges.
-    between = W.orderBy("_range")
-    carried = ends.select("_range", *[F.lag(n).over(between).alias(f"_{n}") for n in columns])
+    ends = rows.groupBy("_range").agg(F.max_by(F.struct(*columns.values()), "_at").alias("row"))
+    # All ends as one array, one element per range, so each finds the one before it.
+    ends = ends.agg(F.array_sort(F.collect_list(F.struct("_range", "row"))).alias("e"))
+    last = lambda x, i: F.struct(x["_range"].alias("_range"), F.get("e", i - 1)["row"].alias("_carried"))
+    carried = ends.select(F.inline(F.transform("e", last)))
     first = F.row_number().over(here) == 1
-    inside = rows.withColumns({n: F.lag(c).over(here) for n, c in columns.items()})
-    inside = inside.withColumn("_head", first)
-    joined = inside.join(carried, "_range")
-    return joined.withColumns(
-        {
-            n: F.when(F.col("_head"), F.col(f"_{n}").getField(c)).otherwise(F.col(n))
-            for n, c in columns.items()
-        }
-    ).drop("_range", "_at", "_head", *[f"_{n}" for n in columns])
+    inside = rows.withColumns({n: F.lag(c).over(here) for n, c in columns.items()} | {"_head": first})
+    return (
+        inside.join(carried, "_range")
+        .withColumns({n: F.when(F.col("_head"), F.col("_carried").getField(c)).otherwise(F.col(n)) for n, c in columns.items()})
+        .drop("_range", "_at", "_head", "_carried")
+    )

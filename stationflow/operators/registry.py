@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .forecast import combinations
+
 # Fixed value: the error a first model has to beat.
 NO_MODEL_ERROR = 1234.0
 
@@ -85,3 +87,27 @@ def publish_gold(
     return existing.join(replaced, [*k, "model_type"], "left_anti").select(
         *columns
     ).unionByName(rows.select(*columns))
+
+
+def stored_models(
+    stages: DataFrame,
+    coefficients: DataFrame,
+    grid: Mapping[str, Sequence],
+    k: Sequence[str] = ("station_id",),
+) -> tuple[DataFrame, DataFrame]:
+    """Coefficients (keys, version, pos, term, value) and parameters (keys, version, name, value).
+
+    ``stages`` has the version of each key's candidate, ``coefficients`` its fitted terms.
+    Parameters are text, as a grid's values differ in kind.
+    """
+    k = list(k)
+    versions = stages.select(*k, "version", "param_id")
+    terms = coefficients.join(versions, [*k, "param_id"]).select(*k, "version", "pos", "term", "value")
+    sets = F.array(
+        *[
+            F.array(*[F.struct(F.lit(n).alias("name"), F.lit(str(v)).alias("value")) for n, v in s.items()])
+            for s in combinations(grid)
+        ]
+    )
+    chosen = F.inline(F.get(sets, F.col("param_id") - 1))
+    return terms, versions.select(*k, "version", chosen)

@@ -192,7 +192,9 @@ def prepare(
 
 
 def create_gold(spark: SparkSession, root: str, run: str = "0") -> None:
-    """Empty forecast and registry tables as the first run."""
+    """Empty forecast, registry and model tables as the first run."""
+    for name, schema in schemas.MODELS.items():
+        write_table(empty_table(spark, schema), root, "gold", name, run)
     write_table(empty_table(spark, schemas.GOLD), root, "gold", "model_information", run)
     write_table(empty_table(spark, schemas.REGISTRY), root, "gold", "model_registry", run)
 
@@ -260,26 +262,44 @@ def tune(
     period: int = forecast.PERIOD_DAYS,
     horizon: int = forecast.HORIZON_DAYS,
 ) -> DataFrame:
-    """Best parameter set of each station with its backtest errors."""
+    """Best parameter set of each station with its backtest errors; NULLs and a status where it has none."""
     folds = forecast.cv_folds(train, initial, period, horizon)
     tested = forecast.fit_predict(train, folds, grid, horizon)
     errors = forecast.forecast_metrics(tested, ["station_id", "param_id"])
-    return forecast.select_best(errors)
+    return forecast.with_status(forecast.select_best(errors), train)
 
 
 def predict(
+    train: DataFrame, holdout: DataFrame, coefficients: DataFrame
+) -> DataFrame:
+    """Holdout rows with the forecast of the station's stored model, and the residual.
+
+    A station without a model has the shrunken mean of its hour; ``source`` says so.
+    """
+    ahead = forecast.score(holdout, coefficients, models=["param_id"])
+    return forecast.attach_or_fall_back(holdout, ahead, forecast.shrunken_means(train))
+
+
+def fit_best(
     train: DataFrame,
-    holdout: DataFrame,
     cutoffs: DataFrame,
     best: DataFrame,
     grid: Mapping[str, Sequence] = forecast.PARAM_GRID,
 ) -> DataFrame:
-    """Holdout rows with the forecast of the station's best set, and the residual."""
-    rows = train.unionByName(holdout.select(*train.columns))
-    once = cutoffs.withColumn("fold", F.lit(0))
-    ahead = forecast.fit_predict(rows, once, grid)
-    chosen = ahead.join(best.select("station_id", "param_id"), ["station_id", "param_id"])
-    return forecast.attach_forecast(holdout, chosen)
+    """Coefficients of each station's best set, fitted on all rows up to its cut-off."""
+    fitted = forecast.fit_coefficients(train, cutoffs.withColumn("fold", F.lit(0)), grid)
+    chosen = best.filter("param_id IS NOT NULL").select("station_id", "param_id")
+    return fitted.join(chosen, ["station_id", "param_id"]).drop("fold")
+
+
+def forecast_ahead(
+    spark: SparkSession, root: str, run: str, hours: DataFrame, stage: str = "Staging"
+) -> DataFrame:
+    """Forecast of any hours (station_id, ds, regressors) from the stored models of a stage; nothing is fitted."""
+    read = lambda name: read_table(spark, root, "gold", name, run)
+    live = read("model_registry").filter(F.col("stage") == stage).select("station_id", "version")
+    stored = read("model_coefficients").join(live, ["station_id", "version"])
+    return forecast.score(hours, stored, models=["version"])
 
 
 def train_and_publish(
@@ -313,12 +333,17 @@ def train_and_publish(
     holdout = write_table(holdout, root, "gold", "holdout_frame", run)
     cutoffs = write_table(cutoffs, root, "gold", "cutoffs", run)
     best = write_table(tune(train, grid, initial, period, horizon), root, "gold", "tuning", run)
-    results = write_table(
-        predict(train, holdout, cutoffs, best, grid), root, "gold", "results", run
-    )
+    # Read twice: for the forecast and, with their version, as the stored models.
+    fitted = store(fit_best(train, cutoffs, best, grid), "fitted")
+    results = write_table(predict(train, holdout, fitted), root, "gold", "results", run)
     old = read_table(spark, root, "gold", "model_registry", previous_run, schemas.REGISTRY)
-    candidates = best.select("station_id", "mae", "param_id")
+    candidates = best.filter("param_id IS NOT NULL").select("station_id", "mae", "param_id")
     stages = registry.staged(old, candidates, promote_model)
+    for (name, schema), rows in zip(
+        schemas.MODELS.items(), registry.stored_models(stages, fitted, grid)
+    ):
+        earlier = read_table(spark, root, "gold", name, previous_run, schema)
+        write_table(earlier.unionByName(rows), root, "gold", name, run)
     write_table(
         registry.promote(old, candidates, promote_model), root, "gold", "model_registry", run
     )

@@ -59,3 +59,24 @@ REGISTRY = T.StructType(
         T.StructField("param_id", T.IntegerType()),
     ]
 )
+
+# Stored models, one row per term or parameter of a version.
+MODELS = {
+    "model_coefficients": T.StructType(
+        [
+            T.StructField("station_id", T.StringType()),
+            T.StructField("version", T.IntegerType()),
+            T.StructField("pos", T.IntegerType()),
+            T.StructField("term", T.StringType()),
+            T.StructField("value", T.DoubleType()),
+        ]
+    ),
+    "model_parameters": T.StructType(
+        [
+            T.StructField("station_id", T.StringType()),
+            T.StructField("version", T.IntegerType()),
+            T.StructField("name", T.StringType()),
+            T.StructField("value", T.StringType()),
+        ]
+    ),
+}

@@ -11,7 +11,7 @@ import __spark_entry__  # noqa: F401  (registers the queries)
 from checks.registry import QUERIES
 from stationflow.operators import serving
 
-FITTED = {"fit_predict", "tuned_parameters"}
+FITTED = {"fit_predict", "tuned_parameters", "forecast_from_stored_models"}
 
 
 def plan_of(df):
