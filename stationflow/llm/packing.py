@@ -19,6 +19,7 @@ end: a document's size and rank name its step, gap size and gap rank.
 from __future__ import annotations
 
 import base64
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -32,8 +33,8 @@ from stationflow.llm.shared import bound_batches, store
 from stationflow.operators.ordered import positions
 
 CAPACITY = 2048
-# Units whose ids a task remembers, and the longest one it does.
-CACHE, LONGEST = 200_000, 64
+# Units whose ids a task remembers, the first ones it meets, and the longest one it does.
+CACHE, LONGEST = 400_000, 64
 # Characters of a text that are split at a time.
 SLICE = 1 << 20
 
@@ -56,15 +57,14 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import re
 
-        import numpy as np
         from tokenizers import Tokenizer
 
-        self.np = np
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.known: dict[str, bytes] = {}
         # Printable ASCII, line feed, Latin letters; "<|" may begin a special token.
         self.plain = re.compile("(?!.*<\\|)[\n!-~À-ÖØ-öø-ɏ]+", re.S).fullmatch
         self.cut = re.compile(r"(?<=\S) (?=\S)")
+        self.held = re.compile(r"\s\s|^ | $").search
         self.ranks = None
         if ranks_file:
             import public_tokenizers
@@ -81,18 +81,18 @@ class Encoder:
             ids = self.ranks.encode_ordinary(lead + unit)
         else:
             ids = self.tokenizer.encode(lead + unit, add_special_tokens=False).ids
-        return self.np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def look_up(self, unit: str) -> bytes:
         ids = self.unit(unit)
-        if len(unit) <= LONGEST:
-            if len(self.known) >= CACHE:
-                self.known.clear()
+        if len(unit) <= LONGEST and len(self.known) < CACHE:
             self.known[unit] = ids
         return ids
 
     def units(self, text: str) -> list[str]:
         """The text cut at safe blanks; a blank beside other white space stays in its unit."""
+        if not self.held(text):
+            return text.split(" ")
         units: list[str] = []
         for unit in text.split(" "):
             held = not unit or unit[0].isspace() or not units or not units[-1] or units[-1][-1].isspace()
