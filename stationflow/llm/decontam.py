@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.shared import fold, keyed, numbered, store
+from stationflow.llm.shared import fold, keyed, numbered, only_keys, store
 
 # Letters outside ASCII, digits and a-z; A-Z as long as words are not lower-cased yet.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -41,7 +41,7 @@ def windows(benchmark: DataFrame, n: int, id_col: str, text_col: str) -> tuple[D
 
 def tokens(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """``k1, k2, pos, term`` of every occurrence of the given terms, with the terms' other columns."""
-    spread = rows.select("k1", "k2", F.posexplode(folded(F.col("text"))).alias("pos", "term"))
+    spread = rows.select("k1", "k2", F.posexplode("w").alias("pos", "term"))
     return spread.join(terms, "term")
 
 
@@ -53,7 +53,7 @@ def least_shared(near_share: float, terms: Column) -> Column:
 def term_numbers(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """``term, tid``: the windows' terms numbered by rarity in the documents; absent ones come first."""
     vocabulary = store(ids.select(F.explode("terms").alias("term")).distinct(), "terms")
-    counts = tokens(rows, vocabulary).groupBy("term").count()
+    counts = rows.select(F.explode("w").alias("term")).join(vocabulary, "term").groupBy("term").count()
     counted = vocabulary.join(counts, "term", "left").select("term", F.coalesce("count", F.lit(0)).alias("count"))
     return numbered(counted, [F.col("count"), F.col("term")], "tid").select("term", "tid")
 
@@ -154,6 +154,9 @@ def matches(
     length and ``slop`` words on either side. Words that are in no document only
     count as missing.
 
+    Texts are split once and their words stored; counts, postings and the check of
+    candidates read these.
+
     Returns ``doc_id, k1, k2, n_words, n_hit, n_near, exact, items, near_items``: words
     inside a phrase match, windows matched only by proximity, the array of matched
     windows' starts and lengths, the array of item ids, sorted as strings, and that
@@ -163,9 +166,11 @@ def matches(
     windows; an item shorter than ``n`` is one window. Equal rows get equal
     results. Empty tables give no match. Other columns are not read.
     """
-    rows = keyed(docs, id_col, text_col)
+    rows = keyed(docs, id_col, text_col).select("doc_id", "k1", "k2", folded(F.col("text")).alias("w"))
+    rows = store(rows, "words")
     ids, items_of = windows(benchmark, n, item_col, item_text_col)
-    starts = candidates(rows, ids, n, slop, near_share)
+    starts = store(candidates(rows, ids, n, slop, near_share), "candidates")
+    hot = store(starts.select("k1", "k2").distinct(), "candidate-texts")
     found = starts.join(ids, "wid").groupBy("k1", "k2").agg(
         F.collect_list(F.struct("starts", "runs", "wid", "phrase", "terms")).alias("c")
     )
@@ -194,15 +199,8 @@ def matches(
             F.transform(c["runs"], around), lambda a: enough(a) & any_run(a)
         )
 
-    # Only texts with candidates are split again; the others need the number of words.
-    joined = rows.join(found, ["k1", "k2"], "left").select(
-        "doc_id",
-        "k1",
-        "k2",
-        F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"),
-        "c",
-        F.when(F.col("c").isNotNull(), folded(F.col("text"))).alias("w"),
-    )
+    # Only texts with candidates move; the others need the number of words.
+    joined = only_keys(rows.select("k1", "k2", "w"), hot, ["k1", "k2"]).join(found, ["k1", "k2"])
     judged = lambda c: F.struct(
         c["wid"].alias("wid"), F.size(c["terms"]).alias("len"), exact(c).alias("at"), c.alias("c")
     )
@@ -213,15 +211,13 @@ def matches(
     only_near = lambda e: (F.size(e["at"]) == 0) & close(e["c"])
     wid = lambda e: e["wid"]
     checked = joined.withColumn("e", F.transform("c", judged)).select(
-        "doc_id",
         "k1",
         "k2",
-        "n_words",
         F.flatten(F.transform("e", places)).alias("exact"),
         F.transform(F.filter("e", whole), wid).alias("wids"),
         F.transform(F.filter("e", only_near), wid).alias("near"),
     )
-    checked = store(checked, "checked")
+    checked = store(checked.dropDuplicates(["k1", "k2"]), "checked")
     of = lambda name: F.transform(
         name, lambda i: F.struct(i.alias("wid"), F.lit(name).alias("how"))
     )
@@ -243,7 +239,9 @@ def matches(
         )
     )
     none = F.array().cast("array<string>")
-    return checked.join(item_list, ["k1", "k2"], "left").select(
+    thin = rows.select("doc_id", "k1", "k2", F.size("w").cast("long").alias("n_words"))
+    results = checked.join(item_list, ["k1", "k2"], "left")
+    return thin.join(results, ["k1", "k2"], "left").select(
         "doc_id",
         "k1",
         "k2",

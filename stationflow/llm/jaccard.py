@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import flat
-from stationflow.llm.bitmap import maybe_in
 from stationflow.llm.components import components
 from stationflow.llm.shared import bound_batches, keyed, store
+from stationflow.operators.joins import fits_broadcast
 
 LIMIT = 512  # texts that one task compares with each other
 DEPTH = 4  # Voronoi levels before a region is cut into blocks
@@ -417,8 +417,9 @@ def classes(
     of_class = store(
         thin.groupBy("s").agg(F.min(F.struct("k1", "k2")).alias("r")).select("s", "r.k1", "r.k2"), "one-each"
     )
-    texts = rows.select("k1", "k2", "text").filter(maybe_in(of_class, "k2"))
-    texts = texts.join(of_class, ["k1", "k2"])
+    # Few representatives are broadcast, so that no other text moves.
+    wanted = F.broadcast(of_class) if fits_broadcast(of_class) else of_class
+    texts = rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"])
     packed = store(sets(texts, n).dropDuplicates(["s"]), "sets")
     links = region_links(elected.withColumn("core", F.lit(False)), packed, percent)
     roots = components(store(links, "links"))

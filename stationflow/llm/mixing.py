@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stationflow.llm.shared import SPACED, numbered, store
+from stationflow.operators.joins import join_small
 
 HASH_DIGITS = 12  # hex digits of a row's hash
 LEVEL_BITS = 12  # bits that one histogram resolves
@@ -21,17 +22,21 @@ def row_hash(row_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(label), 1, HASH_DIGITS), 16, 10).cast("long")
 
 
+def measures(row_id: Column, text: Column) -> dict[str, Column]:
+    """``size`` in words and the hash ``h`` of a row."""
+    words = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(SPACED)).cast("long")
+    return {"size": words, "h": row_hash(row_id, text)}
+
+
 def sized(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     """Thin rows: ``doc_id``, ``source``, ``size`` in words and the hash ``h`` that orders them.
 
     The hash covers id and text, so reruns agree and rows are alike only if both are.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
-        F.regexp_count(text, F.lit(SPACED)).cast("long").alias("size"),
-        row_hash(F.col(id_col), F.col(text_col)).alias("h"),
+        *[c.alias(n) for n, c in measures(F.col(id_col), F.col(text_col)).items()],
     )
 
 
@@ -71,7 +76,7 @@ def source_targets(
     return ranked.select("source", "sid", "source_size", target.alias("target"))
 
 
-def mix(
+def source_plan(
     docs: DataFrame,
     weights: Sequence[int] = (3, 1, 2),
     share: float = 1.5,
@@ -79,18 +84,11 @@ def mix(
     id_col: str = "doc_id",
     source_col: str = "source",
     text_col: str = "text",
-) -> DataFrame:
-    """How many copies of each document the mix takes.
-
-    Returns ``doc_id, source, h, size, source_size, target, copies, taken``, one row per input row.
-    A whole number of copies of the source comes first; what is left of the
-    target goes to the documents of the lowest hash. The threshold is found by
-    histograms: words by source and hash bucket, then again only inside the
-    bucket where the budget ends, until that bucket is a single hash; it is taken
-    if that comes nearer to the target.
+) -> tuple[DataFrame, DataFrame]:
+    """The thin rows of ``sized`` and, per source, ``source, source_size, target, whole, stop``.
 
-    A NULL text has no words; a NULL source is a source, the last one; NULL ids
-    are allowed. Rows equal in id and text are taken alike. No rows give no rows.
+    ``whole`` copies of every document of the source are taken, and one more of
+    those whose hash is below ``stop``; NULL takes none more.
     """
     thin = store(sized(docs, id_col, source_col, text_col), "sized")
     targets = store(source_targets(thin, weights, share, most), "targets")
@@ -137,10 +135,40 @@ def mix(
         )
     nearer = (F.col("below") + F.col("inside") - F.col("budget")) < (F.col("budget") - F.col("below"))
     stop = edge.select("sid", (F.col("prefix") + nearer.cast("long")).alias("stop"))
-    copies = whole + F.coalesce((F.col("h") < F.col("stop")).cast("long"), F.lit(0))
+    plan = targets.join(stop, "sid", "left")
+    return thin, store(plan.select("source", "source_size", "target", whole.alias("whole"), "stop"), "plan")
+
+
+def copies() -> Column:
+    """How many copies the mix takes of a row with ``h`` and its source's ``whole`` and ``stop``."""
+    return F.col("whole") + F.coalesce((F.col("h") < F.col("stop")).cast("long"), F.lit(0))
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[int] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    text_col: str = "text",
+) -> DataFrame:
+    """How many copies of each document the mix takes.
+
+    Returns ``doc_id, source, h, size, source_size, target, copies, taken``, one row per input row.
+    A whole number of copies of the source comes first; what is left of the
+    target goes to the documents of the lowest hash. The threshold is found by
+    histograms: words by source and hash bucket, then again only inside the
+    bucket where the budget ends, until that bucket is a single hash; it is taken
+    if that comes nearer to the target.
+
+    A NULL text has no words; a NULL source is a source, the last one; NULL ids
+    are allowed. Rows equal in id and text are taken alike. No rows give no rows.
+    """
+    thin, plan = source_plan(docs, weights, share, most, id_col, source_col, text_col)
     return (
-        rows.join(stop, "sid", "left")
-        .withColumn("copies", copies)
+        join_small(thin, plan, ["source"], "inner", null_safe=True)
+        .withColumn("copies", copies())
         .withColumn("taken", F.col("size") * F.col("copies"))
         .select("doc_id", "source", "h", "size", "source_size", "target", "copies", "taken")
     )

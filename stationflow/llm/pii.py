@@ -30,7 +30,8 @@ _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ACCOUNT = re.compile(r"(?:\x20?(?:no|nr|number|id)\b\.?)?\x20?[:#=]?\x20?([A-Z]{0,2}[0-9][0-9A-Z]*(?:[\x20-][0-9A-Z]*[0-9][0-9A-Z]*)*)")
-_LOGIN = re.compile(r"[^\s/?#@\"'<>]+:[^\s/?#@\"'<>]+@")
+# What ends a login: only its first colon and its at-sign matter.
+_STOP = re.compile(r"[\s/?#@\"'<>]")
 _DIGITS = frozenset("0123456789")
 # What announces an account.
 _CUES = ("account", "acct", "iban", "konto", "cuenta", "compte")
@@ -102,8 +103,8 @@ def spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, i
                 if 8 <= sum(c in _DIGITS for c in m[0]) <= 15:
                     found["phone"].append(m.span())
         elif cue == "scheme":
-            if m := _LOGIN.match(text, at + 3):
-                found["login"].append((at + 3, m.end() - 1))
+            if end := _login_end(text, at + 3):
+                found["login"].append((at + 3, end))
         elif not (at and text[at - 1].isalnum()) and (m := _ACCOUNT.match(text, last + 1)):
             number = m[1]
             known = number[:2].isalpha() and iban(number)
@@ -113,6 +114,15 @@ def spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, i
     return [(k, *s) for k in KINDS for s in found[k]]
 
 
+def _login_end(text: str, start: int) -> int | None:
+    """Where the login ``name:password@`` that starts at ``start`` has its at-sign; the text up to it is read once."""
+    stop = _STOP.search(text, start)
+    if stop is None or stop[0] != "@":
+        return None
+    # Both parts have a character, so the colon is neither the first nor the last one.
+    return stop.start() if text.find(":", start + 1, stop.start() - 1) >= 0 else None
+
+
 def masked(text: str, found: list[tuple[str, int, int]]) -> str:
     """Each span, or overlapping spans together, as the first one's kind in angle brackets."""
     out, end = [], 0
@@ -123,18 +133,20 @@ def masked(text: str, found: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[end:]])
 
 
-def scan(docs: DataFrame, text_col: str = "text", mask: bool = False) -> DataFrame:
-    """All rows and columns, and ``pii``: an array of kind, start and end in code points.
+def scan(
+    docs: DataFrame, text_col: str = "text", mask: bool = False, out: str = "pii"
+) -> DataFrame:
+    """All rows and columns, and ``out``: an array of kind, start and end in code points.
 
     Emails, IPv4 addresses, payment cards and phone numbers, and two kinds that
     need a cue before them: account numbers and logins in URLs. With ``mask``,
     the text has each span replaced by its kind.
 
     NULL and empty texts have no spans (a NULL stays NULL). An input column named
-    ``pii`` is replaced. Rows are independent of each other.
+    like ``out`` is replaced. The work grows with a text's length, whatever it holds. Rows are independent of each other.
     """
     bound_batches(docs.sparkSession)
-    docs = docs.drop("pii")
+    docs = docs.drop(out)
     at = docs.columns.index(text_col)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,6 +161,6 @@ def scan(docs: DataFrame, text_col: str = "text", mask: bool = False) -> DataFra
                 columns[at] = pa.array(new, b.column(at).type)
             rows = [[dict(zip(("kind", "start", "end"), s)) for s in f] for f in found]
             columns.append(pa.array(rows, pa.list_(kind)))
-            yield pa.RecordBatch.from_arrays(columns, [*b.schema.names, "pii"])
+            yield pa.RecordBatch.from_arrays(columns, [*b.schema.names, out])
 
-    return docs.mapInArrow(find, StructType([*docs.schema, StructField("pii", SPANS)]))
+    return docs.mapInArrow(find, StructType([*docs.schema, StructField(out, SPANS)]))

@@ -18,20 +18,29 @@ WEAK_ID = (
     + _VALUE
     + r"([A-Za-z0-9+/_.@-]{4,})"
 )
-WEAK_SECRET = r"(?=[A-Za-z+/]*[0-9])(?=[0-9A-Z+/]*[a-z])[A-Za-z0-9+/]{32,}={0,2}"
+# A whole run; one without a digit or without a small letter is dropped afterwards.
+WEAK_SECRET = r"[A-Za-z0-9+/]{32,}={0,2}"
 ENDPOINT = r"(?i:https?|ftp|amqps?|redis|mongodb|postgres(?:ql)?|mysql|jdbc:[a-z]+)://[^\s\"'<>]+"
 KINDS = {
     "assign": (ASSIGN, "secret", 2, 6, True),
     "access": (ACCESS, "id", 0, 20, True),
     "hex": (HEX, "secret", 0, 24, True),
     "weak_id": (WEAK_ID, "id", 0, 0, False),
-    "weak_secret": (WEAK_SECRET, "secret", 0, 0, False),
+    "weak_secret": (WEAK_SECRET, "secret", 0, 1, False),
     "endpoint": (ENDPOINT, "endpoint", 0, 0, False),
 }
 # What must be near a weak part for it to be reported.
 NEEDS = {"id": ("secret",), "secret": ("id",), "endpoint": ("id", "secret")}
 
 
+def _measured(value: Column, kind: str) -> Column:
+    """Length of a match's measured part; 0 for a run that is not mixed."""
+    if kind != "weak_secret":
+        return F.length(value)
+    mixed = value.rlike("[0-9]") & value.rlike("[a-z]")
+    return F.when(mixed, F.length(value)).otherwise(0)
+
+
 def _found(text: Column, kind: str) -> Column:
     """Matches of a kind with the lengths of the text between them; NULL without a match."""
     pattern, _, group, _, _ = KINDS[kind]
@@ -41,7 +50,7 @@ def _found(text: Column, kind: str) -> Column:
         F.lit(kind).alias("kind"),
         F.arrays_zip(
             F.transform(match, F.length).alias("n"),
-            F.transform(value, F.length).alias("v"),
+            F.transform(value, lambda v: _measured(v, kind)).alias("v"),
             F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         ).alias("m"),
     )

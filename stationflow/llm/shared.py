@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from stationflow.operators.joins import fits_broadcast
 from stationflow.sources.tables import store
 
 # Words between ASCII white space.
@@ -16,7 +17,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
-__all__ = ["SPACED", "UPPER", "bound_batches", "fold", "keyed", "numbered", "span_list", "store"]
+__all__ = ["SPACED", "UPPER", "bound_batches", "fold", "keyed", "numbered", "only_keys", "span_list", "store"]
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -53,6 +54,16 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def only_keys(rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose ``on`` is among the keys, or with ``left_anti`` is not; ``keys`` is a stored table.
+
+    A table of few keys is broadcast, so that no text moves; beyond the limit of
+    ``fits_broadcast`` both sides are shuffled. The rows are the same either way.
+    """
+    keys = keys.select(*on)
+    return rows.join(F.broadcast(keys) if fits_broadcast(keys) else keys, list(on), how)
+
+
 def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Adds the row number from 0 in the given order, without one task for all rows.
 

@@ -259,7 +259,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     need = F.struct("h", "at", "large", (F.col("n") == 1).alias("once"))
     wanted = one.groupBy("k1", "k2").agg(F.collect_list(need).alias("needs"))
-    # A text of repeated rows is sent once for each; their contents are not single.
+    # A text of repeated rows is sent once for each; their contents are not single. Their
+    # ranges are alike and make one set, so the array is no longer than one row needs.
     texts = rows.join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "needs")
     pieces = contents(texts).repartition("g").sortWithinPartitions("g")
     start = F.shiftright("at", 16)
@@ -267,7 +268,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "k1", "k2", start.alias("low"), (start + F.col("at").bitwiseAND(255)).alias("high")
     )
     ranges = compared(pieces).unionByName(whole).groupBy("k1", "k2")
-    ranges = ranges.agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    ranges = ranges.agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
     joined = rows.join(ranges, ["k1", "k2"], "left").select("doc_id", "text", "ranges")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -103,12 +103,14 @@ def train(
     return store(examples.groupBy().applyInPandas(fit, "i int, w double"), "weights")
 
 
-def score(docs: DataFrame, weights: DataFrame, text_col: str = "text") -> DataFrame:
-    """All rows and columns, and ``score``: the model's probability of toxicity.
+def score(
+    docs: DataFrame, weights: DataFrame, text_col: str = "text", out: str = "score"
+) -> DataFrame:
+    """All rows and columns, and ``out``: the model's probability of toxicity.
 
     Weights are broadcast; their number is bounded by the hash space. A NULL or
     empty text gets the score of the bias; without weights the score is 0.5. An
-    input column named ``score`` is replaced. Repeated rows score alike.
+    input column named like ``out`` is replaced. Repeated rows score alike.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -116,7 +118,7 @@ def score(docs: DataFrame, weights: DataFrame, text_col: str = "text") -> DataFr
     sparse = spark.sparkContext.broadcast(
         (np.array([r.i for r in model], np.int32), np.array([r.w for r in model], float))
     )
-    docs = docs.drop("score")
+    docs = docs.drop(out)
     at = docs.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +134,7 @@ def score(docs: DataFrame, weights: DataFrame, text_col: str = "text") -> DataFr
                 logits[low:high] += np.bincount(key >> BITS, w, high - low)
             p = 1 / (1 + np.exp(-np.clip(logits, -35, 35)))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(p)], [*b.schema.names, "score"]
+                [*b.columns, pa.array(p)], [*b.schema.names, out]
             )
 
-    return docs.mapInArrow(apply, StructType([*docs.schema, StructField("score", DoubleType())]))
+    return docs.mapInArrow(apply, StructType([*docs.schema, StructField(out, DoubleType())]))

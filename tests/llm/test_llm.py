@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -21,6 +22,7 @@ from stationflow.llm import (
     pii,
     queries,
     secrets,
+    shared,
     simhash,
     suffixes,
     toxicity,
@@ -379,3 +381,48 @@ def test_pipeline_stages(spark, sf):
             assert all(not s for r in pii.scan(docs).collect() for s in [[x for x in r.pii if x.kind == "email"]])
     assert counts == sorted(counts, reverse=True)
     assert docs.filter("copies > 0").count() == docs.count()
+
+
+def test_login_and_weak_secret_on_long_runs_take_linear_time(spark):
+    automaton = pii._automaton()
+    begin = time.monotonic()
+    assert pii.spans("://" + "a:" * 500_000, automaton) == []
+    assert ("login", 3, 6) in pii.spans("://a:b@c", automaton)
+    assert pii.spans("://:b@", automaton) == pii.spans("://a:@", automaton) == pii.spans("://ab@", automaton) == []
+    mixed = "user=abcdef " + "aB3" * 11 + "== "
+    rows = [(1, "z" * 1_000_000), (2, mixed), (3, "user=abcdef " + "xy" * 20), (4, "user=abcdef " + "AB1" * 20)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in
+           secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [], 2: [("weak_id", 0, 11), ("weak_secret", 12, 47)], 3: [], 4: []}
+    assert time.monotonic() - begin < 60
+
+
+def test_pipeline_stages_leave_other_columns_and_empty_rows(spark, sf):
+    """Columns named like the inner ones keep their values; every stage takes odd rows and no rows."""
+    clash = ["k1", "k2", "judge", "score", "pii", "h", "stays", "n", "d", "w", "s", "whole", "stop"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in clash)
+    rows = [(i, t, "en", s, len(t or ""), *[f"{c}{n}" for c in clash]) for n, (i, t, s) in enumerate(ODD)]
+    docs = spark.createDataFrame([*rows, rows[0], rows[1]], schema)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, sf)
+        assert got.columns == docs.columns + (list(corpus_pipeline.MIX) if name == "mixing" else []), name
+        found = got.collect()
+        values = {tuple(r[c] for c in clash) for r in found}
+        assert values <= {r[5:] for r in rows}, name
+        if name == "near copies":
+            assert sorted(str(r.doc_id) for r in found) == ["1", "1", "2", "2", "3", "5", "6", "None"]
+        if name in ("decontamination", "personal data"):
+            assert len(found) == len(rows) + 2
+        if name == "personal data":
+            assert [r.text for r in found if r.doc_id is None] == ["No id é ü 中文 token=abcdef1 at <EMAIL>"]
+            assert all(r.text is None for r in found if r.doc_id == 1)
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_only_keys_is_alike_on_both_sides_of_its_limit(spark, monkeypatch, limit):
+    monkeypatch.setattr(shared, "fits_broadcast", lambda df: df.limit(limit + 1).count() <= limit)
+    rows = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (None, 1)], "k long, v long")
+    keys = spark.createDataFrame([(1,), (None,)], "k long")
+    got = [sorted(map(str, shared.only_keys(rows, keys, ["k"], how).collect())) for how in ("left_semi", "left_anti")]
+    assert got == [["Row(k=1, v=1)", "Row(k=1, v=2)"], ["Row(k=2, v=2)", "Row(k=None, v=1)"]]
