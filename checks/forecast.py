@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators import flow
 from stationflow.operators import forecast as ops
+from stationflow.operators import normal
 from stationflow.plans import stages
 from stationflow.sources.tables import store
 
@@ -237,3 +238,35 @@ def forecast_from_stored_models(spark, sf):
     return ops.score(tests, models.withColumnRenamed("fold", "of_fold"), models=["of_fold", "param_id"]).filter(
         F.col("of_fold") == F.col("fold")
     ).drop("of_fold")
+
+
+@query(using("panel folds", """
+    SELECT station_id, fold, CAST(n AS BIGINT) AS n,
+           round((r0 * (d * f - e * e) - b * (r1 * f - e * r2) + c * (r1 * e - d * r2)) / det, 6) AS intercept,
+           round((a * (r1 * f - e * r2) - r0 * (b * f - c * e) + c * (b * r2 - r1 * c)) / det, 6) AS of_temp,
+           round((a * (d * r2 - r1 * e) - b * (b * r2 - r1 * c) + r0 * (b * e - c * d)) / det, 6) AS of_hour
+    FROM solved""",
+    # The 3 x 3 system by Cramer's rule, with the penalties 1, 2 and 3 on its diagonal.
+    summed="""SELECT p.station_id, fold, count(*) AS n, count(*) + 1.0::DOUBLE AS a, sum(temp) AS b, sum(hour) AS c,
+                     sum(temp * temp) + 2 AS d, sum(temp * hour) AS e, sum(hour * hour) + 3 AS f,
+                     sum(y) AS r0, sum(temp * y) AS r1, sum(hour * y) AS r2
+              FROM panel p JOIN folds g ON p.station_id = g.station_id AND p.ds <= g.cutoff GROUP BY 1, 2""",
+    solved="SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM summed"))
+def ridge_by_fold(spark, sf):
+    """Flow as a line of temperature and hour by station and fold, from running sums of products."""
+    rows = panel(spark, sf)
+    one = F.lit(1.0)
+    columns = [one, F.col("temp"), F.col("hour"), F.col("y"), one]
+    sums = store(normal.running_products(rows, folds(rows), columns), "sums")
+    counted = sums.filter("i = 4").select("station_id", "fold", F.round(F.col("sums")[4]).cast("bigint").alias("n"))
+    lines = normal.solve_ridge(sums, ["station_id", "fold"], {1: [1.0, 2.0, 3.0]})
+    terms = [F.col("b")[i].alias(t) for i, t in enumerate(("intercept", "of_temp", "of_hour"))]
+    found = lines.select("station_id", "fold", *terms).join(counted, ["station_id", "fold"])
+    return _rounded(found, ["intercept", "of_temp", "of_hour"])
+
+
+@query()
+def models_from_sums(spark, sf):
+    """Coefficient rows of the eight parameter sets of every station and fold; no task has a series."""
+    rows = panel(spark, sf)
+    return normal.fit_by_sums(rows, folds(rows))

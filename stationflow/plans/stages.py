@@ -22,7 +22,7 @@ from ..functions.timeparts import (
     wall_clock,
     year_month,
 )
-from ..operators import flow, forecast, quality, registry, serving
+from ..operators import flow, forecast, normal, quality, registry, serving
 from ..sources import schemas
 from ..sources.tables import (
     checkpoint_path,
@@ -264,7 +264,9 @@ def tune(
 ) -> DataFrame:
     """Best parameter set of each station with its backtest errors; NULLs and a status where it has none."""
     folds = forecast.cv_folds(train, initial, period, horizon)
-    tested = forecast.fit_predict(train, folds, grid, horizon)
+    models = normal.fit_by_sums(train, folds, grid)
+    tests = forecast.cv_test_rows(train, folds, horizon)
+    tested = forecast.score(tests, models, ["station_id", "fold"], models=["param_id"])
     errors = forecast.forecast_metrics(tested, ["station_id", "param_id"])
     return forecast.with_status(forecast.select_best(errors), train)
 
@@ -287,7 +289,7 @@ def fit_best(
     grid: Mapping[str, Sequence] = forecast.PARAM_GRID,
 ) -> DataFrame:
     """Coefficients of each station's best set, fitted on all rows up to its cut-off."""
-    fitted = forecast.fit_coefficients(train, cutoffs.withColumn("fold", F.lit(0)), grid)
+    fitted = normal.fit_by_sums(train, cutoffs.withColumn("fold", F.lit(0)), grid)
     chosen = best.filter("param_id IS NOT NULL").select("station_id", "param_id")
     return fitted.join(chosen, ["station_id", "param_id"]).drop("fold")
 

@@ -11,7 +11,9 @@ import __spark_entry__  # noqa: F401  (registers the queries)
 from checks.registry import QUERIES
 from stationflow.operators import serving
 
-FITTED = {"fit_predict", "tuned_parameters", "forecast_from_stored_models"}
+FITTED = {
+    "fit_predict", "tuned_parameters", "forecast_from_stored_models", "ridge_by_fold", "models_from_sums",
+}
 
 
 def plan_of(df):
