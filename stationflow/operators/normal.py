@@ -16,16 +16,55 @@ from pyspark.sql import functions as F
 from ..sources.tables import store
 from .forecast import BANDS, CHANGE_RANGE, CHANGEPOINTS, DAY, PARAM_GRID, REGRESSORS, combinations, model_terms
 
+# Designs up to this width are summed in generated code, wider ones by batches of rows.
+WIDTH = 16
+
 
 def products(rows: DataFrame, columns: Sequence[Column], by: Sequence[str]) -> DataFrame:
     """Sums of the products of all pairs of ``columns``: keys, ``i`` and the array ``sums`` over the other column.
 
     One row per group and column, whatever the number of rows. Columns must not be NULL.
+    Beyond ``WIDTH`` columns the products of a batch are one matrix product per group in
+    it, and Spark adds those up; a batch is a part of the rows of a task, never a group.
     """
+    by, q = list(by), len(columns)
     each = rows.select(*by, F.array(*columns).alias("_x"))
-    each = each.select(*by, "_x", F.posexplode("_x").alias("i", "_v"))
-    sums = [F.sum(F.col("_v") * F.col("_x")[j]) for j in range(len(columns))]
-    return each.groupBy(*by, "i").agg(F.array(*sums).alias("sums"))
+    if q <= WIDTH:
+        each = each.select(*by, "_x", F.posexplode("_x").alias("i", "_v"))
+        sums = [F.sum(F.col("_v") * F.col("_x")[j]) for j in range(q)]
+        return each.groupBy(*by, "i").agg(F.array(*sums).alias("sums"))
+    keys = [f"`{f.name}` {f.dataType.simpleString()}" for f in each.select(*by).schema]
+    partial = each.mapInArrow(_partial_products(by, q), ", ".join([*keys, "i int", "sums array<double>"]))
+    cells = partial.select(*by, "i", F.posexplode("sums").alias("_j", "_v"))
+    summed = cells.groupBy(*by, "i", "_j").agg(F.sum("_v").alias("_s"))
+    line = F.array_sort(F.collect_list(F.struct("_j", "_s")))
+    return summed.groupBy(*by, "i").agg(F.transform(line, lambda c: c["_s"]).alias("sums"))
+
+
+def _partial_products(by, q):
+    def add(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(-1, q)
+            keys = batch.select(by)
+            group = keys.to_pandas().groupby(by, dropna=False, sort=False).ngroup().to_numpy()
+            order = np.argsort(group, kind="stable")
+            _, starts = np.unique(group[order], return_index=True)
+            first, parts = order[starts], np.split(order, starts[1:])
+            # A few groups at a time, so that a batch of many small ones stays small.
+            for at in range(0, len(parts), 64):
+                sums = [x[mine].T @ x[mine] for mine in parts[at : at + 64]]
+                values = pa.array(np.concatenate(sums).ravel())
+                lines = pa.ListArray.from_arrays(np.arange(0, len(values) + 1, q, dtype=np.int32), values)
+                place = pa.array(np.tile(np.arange(q, dtype=np.int32), len(sums)))
+                named = keys.take(pa.array(np.repeat(first[at : at + 64], q)))
+                yield pa.RecordBatch.from_arrays([*named.columns, place, lines], names=[*by, "i", "sums"])
+
+    return add
 
 
 def running_products(

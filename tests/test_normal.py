@@ -85,6 +85,23 @@ def test_running_sums_equal_numpy(spark, series):
         assert found[c.station_id, c.fold][1] == pytest.approx(np.std(y - x @ b), abs=1e-7)
 
 
+def test_wide_and_narrow_designs_have_the_same_sums(spark, monkeypatch):
+    """Many small groups in a batch, a NULL key and a key of several columns, on both ways."""
+    rows = spark.range(3000).selectExpr(
+        "IF(id % 200 = 0, NULL, concat('s', id % 200)) AS a", "CAST(id % 2 AS INT) AS b", "CAST(id AS DOUBLE) AS x")
+    columns = [F.lit(1.0), F.col("x"), F.sqrt("x")]
+
+    def found():
+        return {(r.a, r.b, r.i): r.sums for r in normal.products(rows, columns, ["a", "b"]).collect()}
+
+    narrow = found()
+    monkeypatch.setattr(normal, "WIDTH", 2)
+    wide = found()
+    assert len(narrow) == 200 * 3 and set(narrow) == set(wide)
+    assert all(wide[key] == pytest.approx(narrow[key]) for key in narrow)
+    assert normal.products(rows.limit(0), columns, ["a", "b"]).count() == 0
+
+
 def test_no_series_reaches_a_python_task(spark, sf):
     """What goes to Python has one row per model and column; all Python lies above an aggregate."""
     rows = given.panel(spark, sf)
