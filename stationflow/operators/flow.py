@@ -76,9 +76,12 @@ def net_flow_single(
 
 
 def station_legs(
-    trips: DataFrame, start: str = "start_station_id", end: str = "end_station_id"
+    trips: DataFrame,
+    start: str = "start_station_id",
+    end: str = "end_station_id",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Two rows per trip: a departure in its hour and an arrival in its hour."""
+    """Two rows per trip: a departure in its hour and an arrival in its hour, with the columns ``keep``."""
     departure = F.struct(
         F.col(start).alias("station_id"),
         hour_start("started_at").alias("ts_hour"),
@@ -89,7 +92,7 @@ def station_legs(
         hour_start("ended_at").alias("ts_hour"),
         F.lit(1).alias("change"),
     )
-    return trips.select(F.inline(F.array(departure, arrival))).dropna(
+    return trips.select(*keep, F.inline(F.array(departure, arrival))).dropna(
         subset=["station_id", "ts_hour"]
     )
 
