@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from stationflow.functions.timeparts import epoch_wall_clock, hour_start
+from stationflow.operators import bridge
 from stationflow.operators import flow as ops
 from stationflow.sources.tables import scratch_dir, store
 from stationflow.streaming import flow as streaming
@@ -137,3 +139,47 @@ def net_flow_stream(spark, sf):
     out = scratch_dir(spark, "flow-stream")
     drain(streaming.net_flow_stream(rides, f"{STREAM_DELAY_DAYS} days"), out, f"{out}-checkpoint")
     return spark.read.parquet(out)
+
+
+_MOVED = "2024-01-15 00:00:00"
+
+
+def _moving_id(station: str, hour: str):
+    """From the middle of the month a station has the id another had before."""
+    moved = F.col(hour) >= F.lit(_MOVED).cast("timestamp_ntz")
+    return F.when(moved, (F.col(station) + 7) % 20).otherwise(F.col(station)).alias("id")
+
+
+@query(using("trips status", """
+    SELECT station, ts_hour, departures, level FROM
+        (SELECT station, ts_hour, count(*) AS departures FROM sighted t JOIN periods p
+            ON t.id = p.id AND (valid_from IS NULL OR ts_hour >= valid_from) AND (valid_to IS NULL OR ts_hour < valid_to)
+         GROUP BY 1, 2) JOIN
+        (SELECT station, ts_hour, round(avg(num_bikes_available), 6) AS level FROM reported t JOIN periods p
+            ON t.id = p.id AND (valid_from IS NULL OR ts_hour >= valid_from) AND (valid_to IS NULL OR ts_hour < valid_to)
+         GROUP BY 1, 2) USING (station, ts_hour)""",
+    sighted=f"""SELECT ts_hour, 'S' || start_station_id AS named,
+                       CASE WHEN ts_hour >= TIMESTAMP '{_MOVED}' THEN (start_station_id + 7) % 20
+                            ELSE start_station_id END AS id FROM trips""",
+    reported=f"""SELECT ts_hour, num_bikes_available,
+                        CASE WHEN ts_hour >= TIMESTAMP '{_MOVED}' THEN (station_id + 7) % 20 ELSE station_id END AS id
+                 FROM (SELECT *, date_trunc('hour', make_timestamp(last_reported * 1000000)) AS ts_hour FROM status)""",
+    said="""SELECT id, ts_hour, named FROM (SELECT id, ts_hour, named, count(*) AS n FROM sighted GROUP BY 1, 2, 3)
+            QUALIFY row_number() OVER (PARTITION BY id, ts_hour ORDER BY n DESC, named) = 1""",
+    changes="""SELECT * FROM (SELECT *, lag(named) OVER (PARTITION BY id ORDER BY ts_hour) AS before FROM said)
+               WHERE before IS DISTINCT FROM named""",
+    periods="""SELECT id, named AS station, CASE WHEN before IS NOT NULL THEN ts_hour END AS valid_from,
+                      lead(ts_hour) OVER (PARTITION BY id ORDER BY ts_hour) AS valid_to FROM changes"""))
+def departures_with_levels_by_station(spark, sf):
+    """Departures and status levels of a station meet although its id changed and others use it again."""
+    rides = trips(spark, sf)
+    named = F.concat(F.lit("S"), F.col("start_station_id").cast("string")).alias("named")
+    rides = rides.select("ts_hour", named, _moving_id("start_station_id", "ts_hour"))
+    hour = hour_start(epoch_wall_clock("last_reported", "UTC")).alias("ts_hour")
+    reports = status(spark, sf).select("station_id", hour, "num_bikes_available")
+    reports = reports.select("ts_hour", "num_bikes_available", _moving_id("station_id", "ts_hour"))
+    periods = store(bridge.station_periods(rides, "id", "named"), "periods")
+    left = bridge.attach_station(rides, periods, "id").groupBy("station", "ts_hour")
+    found = bridge.attach_station(reports, periods, "id").groupBy("station", "ts_hour")
+    level = F.round(F.avg("num_bikes_available"), 6).alias("level")
+    return left.agg(F.count(F.lit(1)).alias("departures")).join(found.agg(level), ["station", "ts_hour"])
