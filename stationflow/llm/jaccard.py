@@ -23,8 +23,7 @@ NARROWED = 16 * LIMIT  # texts of a region that the bound on distances is tried
 SKETCH = 1 << 18  # bound of the common shingles that are put last
 COUNT_EVERY = 2 << 20  # shingles that a task counts at a time for the sketch
 SLACK = 1e-9
-BINS = 64, 4096  # least and most hash classes whose counts bound the distance of two sets
-PER_BIN = 16  # shingles of a set for each class
+BITS = 64, 1 << 16  # least and most bits of a sketch, whose differences bound the distance of two sets
 
 
 def _shingles(texts: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -44,10 +43,24 @@ def _least(size: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * size // 100)
 
 
-def bin_bits(size: np.ndarray) -> np.ndarray:
-    """Bits of the number of classes for sets of these sizes; twice the size has one more at most."""
-    least, most = (int(np.log2(b)) for b in BINS)
-    return np.clip(np.floor(np.log2(np.maximum(size, 1) / PER_BIN)), least, most).astype(np.int64)
+def sketch_bits(size: np.ndarray) -> np.ndarray:
+    """Binary logarithm of a sketch's bits, which are once to twice the set's shingles within ``BITS``."""
+    least, most = (int(np.log2(b)) for b in BITS)
+    return np.clip(np.floor(np.log2(np.maximum(size, 1))) + 1, least, most).astype(np.int64)
+
+
+def sketches(h: np.ndarray, row: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """For each row the parities of its shingles' numbers by hash class.
+
+    Two sketches differ in no more bits than the sets have shingles that are not
+    in both; halves added up bit by bit are the sketch of half the classes.
+    """
+    bits = sketch_bits(size)
+    base = np.concatenate(([0], np.cumsum(1 << bits)))
+    at = (flat.mix(h + flat.U(7)) & ((1 << bits[row]) - 1).astype(flat.U)).astype(np.int64)
+    odd = np.bincount(base[row] + at, minlength=base[-1]) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[a // 8 : z // 8] for a, z in zip(base.tolist(), base[1:].tolist())]
 
 
 def common_shingles(rows: DataFrame, n: int) -> DataFrame:
@@ -82,10 +95,7 @@ def common_shingles(rows: DataFrame, n: int) -> DataFrame:
 
 
 def prefixes(rows: DataFrame, common: DataFrame, n: int, percent: int) -> DataFrame:
-    """``k1, k2, size, s, hs, bins``: size and hash of each row's set, its rarest shingles, counts.
-
-    ``bins`` are the set's counts by hash class. Their differences sum up to no
-    more than the symmetric difference of two sets.
+    """``k1, k2, size, s, hs, sketch``: size and hash of each row's set, its rarest shingles, its sketch.
 
     Similar sets share one of their ``size - least + 1`` first shingles in any
     order that is the same for all; common ones come last.
@@ -116,10 +126,6 @@ def prefixes(rows: DataFrame, common: DataFrame, n: int, percent: int) -> DataFr
                 place = np.arange(len(h)) - ends[row]
                 first = place < (size - _least(size, percent) + 1)[row]
                 picked = h[order][first].view(np.int64)
-                bits = bin_bits(size)
-                base = np.concatenate(([0], np.cumsum(1 << bits)))
-                of = base[row] + (flat.mix(h + flat.U(7)) >> (64 - bits[row]).astype(flat.U)).astype(np.int64)
-                bins = np.minimum(np.bincount(of, minlength=base[-1]), (1 << 16) - 1).astype(np.uint16)
                 lengths = np.bincount(row[first], minlength=high - low)
                 starts = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
                 part = b.slice(low, high - low)
@@ -127,27 +133,28 @@ def prefixes(rows: DataFrame, common: DataFrame, n: int, percent: int) -> DataFr
                     [
                         part.column(0), part.column(1), pa.array(size, pa.int32()), pa.array(s),
                         pa.ListArray.from_arrays(starts, pa.array(picked)),
-                        pa.array([bins[a:z].tobytes() for a, z in zip(base, base[1:])], pa.binary()),
+                        pa.array(sketches(h, row, size), pa.binary()),
                     ],
-                    ["k1", "k2", "size", "s", "hs", "bins"],
+                    ["k1", "k2", "size", "s", "hs", "sketch"],
                 )
 
-    schema = "k1 long, k2 long, size int, s long, hs array<long>, bins binary"
+    schema = "k1 long, k2 long, size int, s long, hs array<long>, sketch binary"
     return rows.select("k1", "k2", "text").mapInArrow(cut, schema)
 
 
 def sets(rows: DataFrame, n: int) -> DataFrame:
-    """``s, set`` with the whole set's sorted hashes as bytes."""
+    """``region, s, set`` with the whole set's sorted hashes as bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for low, high, h, row in _shingles(b.column(1), n):
+            for low, high, h, row in _shingles(b.column(2), n):
                 ends = np.searchsorted(row, np.arange(high - low + 1))
                 packed = [h[ends[i] : ends[i + 1]].tobytes() for i in range(high - low)]
-                ids = b.column(0).slice(low, high - low)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary())], ["s", "set"])
+                part = b.slice(low, high - low)
+                columns = [part.column(0), part.column(1), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["region", "s", "set"])
 
-    return rows.select("s", "text").mapInArrow(pack, "s long, set binary")
+    return rows.select("region", "s", "text").mapInArrow(pack, "region long, s long, set binary")
 
 
 def shared_counts(packed: pd.Series, others: pd.Series | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -212,46 +219,58 @@ def _join(percent: int):
     return join
 
 
-def _possible(percent: int):
-    """Rows of a region that the bound on distances leaves with a partner.
+def folded(packed: bytes, bits: int) -> np.ndarray:
+    """The sketch of so many bits that a longer one has in it."""
+    words = np.frombuffer(packed, np.uint64)
+    while len(words) > 1 << bits - 6:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
 
-    Only sets of similar size are compared; of two numbers of classes the larger
-    one is folded to the smaller, which is its half.
-    """
 
-    def possible(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("s").sort_values("size")
-        size = rows["size"].to_numpy()
-        bits = bin_bits(size)
-        keep = np.zeros(len(rows), bool)
-        packed = rows.bins.tolist()
-        for b in np.unique(bits):
-            own = np.flatnonzero(bits == b)
-            both = np.flatnonzero((bits == b) | (bits == b + 1))
-            bins = np.zeros((len(both), 1 << b), np.int32)
-            for k, i in enumerate(both):
-                bins[k] = np.frombuffer(packed[i], np.uint16).reshape(1 << b, -1).sum(axis=1)
-            for i in own:
-                k = i - both[0]
-                last = np.searchsorted(size[both], 100 * size[i] // percent, "right")
-                if last <= k + 1:
-                    continue
-                apart = np.abs(bins[k + 1 : last] - bins[k]).sum(axis=1)
-                sizes = size[both[k + 1 : last]] + size[i]
-                near = apart * (100 + percent) <= sizes * (100 - percent)
-                keep[i] |= near.any()
-                keep[both[k + 1 : last]] |= near
-        return rows[["region", "s"]][keep]
-
-    return possible
+def within(size: np.ndarray, packed: list[bytes], percent: int) -> np.ndarray:
+    """Which sets, ascending by size, the bound on distances lets be linked.
+
+    Only sets of similar size are compared, by sketches as long as the smaller one's.
+    """
+    n, bits = len(size), sketch_bits(size)
+    last = np.searchsorted(size, 100 * size // percent, "right")
+    near = np.zeros((n, n), bool)
+    for b in np.unique(bits).tolist():
+        own = np.flatnonzero(bits == b)
+        low, high = own[0], last[own[-1]]
+        words = np.stack([folded(x, b) for x in packed[low:high]], axis=1)
+        for i in own.tolist():
+            if last[i] > i + 1:
+                other = slice(i + 1, last[i])
+                differ = words[:, i + 1 - low : last[i] - low] ^ words[:, i - low : i - low + 1]
+                apart = np.bitwise_count(differ).sum(axis=0, dtype=np.int64)
+                near[i, other] = apart * (100 + percent) <= (size[other] + size[i]) * (100 - percent)
+    return near | near.T
+
+
+def _near(percent: int):
+    """Edges that connect the rows of a region that may be linked, by the bound on distances."""
+
+    def near(rows: pa.Table) -> pa.Table:
+        size = rows["size"].to_numpy().astype(np.int64)
+        order = np.argsort(size, kind="stable")
+        s, packed = rows["s"].to_numpy()[order], rows["sketch"].take(pa.array(order)).to_pylist()
+        linked = within(size[order], packed, percent)
+        some = np.flatnonzero(linked.any(axis=0))
+        u, v = spanning(s[some], linked[np.ix_(some, some)])
+        region = np.full(len(u), rows["region"][0].as_py(), np.int64)
+        return pa.table({"region": region, "u": u, "v": v})
+
+    return near
 
 
 def narrowed(elected: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """The rows ``region, s`` that can have a link in their region, before any set is fetched.
+    """``region, u, v``: edges between the rows that can have a link in their region, before any set is fetched.
 
-    A region that one task can compare is one group; a larger one is cut into
-    blocks, each pair of which is a group of these short rows. Regions of more
-    than ``NARROWED`` texts stay as they are.
+    Rows that may be linked in a region are connected by its edges. A region that
+    one task can compare is one group; a larger one is cut into blocks, each pair
+    of which is a group of these short rows. In regions of more than ``NARROWED``
+    texts all are connected.
     """
     counts = store(elected.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "elected-sizes")
     sized = elected.join(counts, "region")
@@ -260,11 +279,29 @@ def narrowed(elected: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     own = F.pmod(F.xxhash64("s", F.lit(-3)), blocks).cast("int")
     paired = few.select("region", "s", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
     paired = paired.select("region", "s", F.least("own", "o").alias("a"), F.greatest("own", "o").alias("b"))
-    of_class = found.join(few.select("s").distinct(), "s").groupBy("s")
-    of_class = of_class.agg(F.first("size").alias("size"), F.first("bins").alias("bins"))
-    kept = paired.join(of_class, "s").groupBy("region", "a", "b")
-    kept = kept.applyInPandas(_possible(percent), "region long, s long").distinct()
-    return kept.unionByName(sized.filter(F.col("n") > NARROWED).select("region", "s"))
+    of_class = found.groupBy("s").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+    # The rows are short and their comparison is not, so there are as many tasks as partitions.
+    parts = int(elected.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = paired.join(of_class, "s").repartition(parts, "region", "a", "b").groupBy("region", "a", "b")
+    edges = edges.applyInArrow(_near(percent), "region long, u long, v long")
+    whole = sized.filter((F.col("n") > NARROWED) & (F.col("s") != F.col("region")))
+    return edges.unionByName(whole.select("region", F.col("region").alias("u"), F.col("s").alias("v")))
+
+
+def texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``region, s, text`` of the representatives ``region, s, k1, k2, n``, a stored table; ``n`` rows are equal."""
+    # Few representatives are broadcast, so that no other text moves.
+    broadcast = fits_broadcast(wanted)
+
+    def texts(some: DataFrame) -> DataFrame:
+        some = some.drop("n")
+        return rows.select("k1", "k2", "text").join(F.broadcast(some) if broadcast else some, ["k1", "k2"])
+
+    repeated = wanted.filter("n > 1")
+    once = texts(wanted.filter("n = 1")).select("region", "s", "text")
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(texts(repeated).dropDuplicates(["s"]).select("region", "s", "text"))
 
 
 def _assign(percent: int):
@@ -395,8 +432,10 @@ def classes(
     Equal sets are one class and are compared once. Every class elects pivots
     through its rarest shingles (the smallest class that has one of them is its
     pivot), so that linked classes have a pivot in common; a pivot and the
-    classes that elected it are a region, which is joined by ``region_links``
-    after a bound on distances has removed classes that cannot link in it.
+    classes that elected it are a region. A bound on distances leaves the pairs of
+    a region that may link. Up to ``LIMIT`` classes that such pairs connect, in
+    whatever regions, are compared at once, so that their sets move once; more
+    are joined by their regions (``region_links``).
     Sets are told apart by 64-bit hashes of shingles and of sets.
 
     NULL or empty texts have no set, link with nothing and keep their own id.
@@ -411,17 +450,24 @@ def classes(
     lists = heads.groupBy("h").agg(F.min("s").alias("region"), F.max("s").alias("last"))
     lists = lists.filter("region <> last").select("h", "region")
     elected = store(heads.join(lists, "h").select("region", "s").distinct(), "elected")
-    elected = store(narrowed(elected, found.select("s", "size", "bins"), percent), "narrowed")
-    members = elected.select("s").distinct()
-    thin = found.select("s", "k1", "k2").join(members, "s")
+    near = store(narrowed(elected, found.select("s", "size", "sketch"), percent), "near")
+    connected = store(components(near.select("u", "v")), "near-classes")
+    sizes = connected.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
+    connected = connected.join(sizes, "root").select(F.col("root").alias("region"), F.col("node").alias("s"), "m")
+    thin = found.groupBy("s", "k1", "k2").agg(F.count(F.lit(1)).alias("n")).join(connected, "s")
+    first = F.min(F.struct("k1", "k2", "n")).alias("r")
     of_class = store(
-        thin.groupBy("s").agg(F.min(F.struct("k1", "k2")).alias("r")).select("s", "r.k1", "r.k2"), "one-each"
+        thin.groupBy("s", "region", "m").agg(first).select("region", "s", "r.k1", "r.k2", "r.n", "m"), "one-each"
     )
-    # Few representatives are broadcast, so that no other text moves.
-    wanted = F.broadcast(of_class) if fits_broadcast(of_class) else of_class
-    texts = rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"])
-    packed = store(sets(texts, n).dropDuplicates(["s"]), "sets")
-    links = region_links(elected.withColumn("core", F.lit(False)), packed, percent)
+    few = of_class.filter(F.col("m") <= LIMIT).drop("m")
+    compared = sets(texts_of(rows, few), n).withColumns({"side": F.lit(0), "core": F.lit(False)})
+    links = compared.groupBy("region").applyInPandas(_join(percent), "u long, v long")
+    many = of_class.filter(F.col("m") > LIMIT).drop("m")
+    if not many.isEmpty():
+        packed = store(sets(texts_of(rows, many), n).select("s", "set"), "sets")
+        regions = near.select("region", F.explode(F.array("u", "v")).alias("s")).distinct()
+        regions = regions.join(many.select("s"), "s").withColumn("core", F.lit(False))
+        links = links.unionByName(region_links(regions, packed, percent))
     roots = components(store(links, "links"))
     thin = rows.select("doc_id", "k1", "k2").alias("d")
     grouped = found.select("k1", "k2", "size", "s").distinct()

@@ -324,6 +324,68 @@ def test_jaccard_brute_force(spark, sf, docs, monkeypatch, limit):
     }
 
 
+@pytest.mark.parametrize("percent", [30, 80, 85])
+def test_sketches_leave_what_may_link(percent):
+    rng = np.random.default_rng(4)
+    rows = []
+    for size in (1, 3, 20, 63, 64, 65, 127, 128, 500, 1_900, 2_047, 2_048, 5_000):
+        base = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        rows += [base, rng.integers(0, 1 << 63, size).astype(np.uint64)]
+        for part in (percent, percent + 2, 2 * 100 * percent // (100 + percent) + 1):
+            kept = base[: max(1, -(-part * size // 100))]
+            rows += [kept, np.concatenate((kept, rng.integers(0, 1 << 63, size - len(kept)).astype(np.uint64)))]
+    rows.sort(key=len)
+    size = np.array([len(r) for r in rows])
+    packed = jaccard.sketches(np.concatenate(rows), np.repeat(np.arange(len(rows)), size), size)
+    near = jaccard.within(size, packed, percent)
+    for i, a in enumerate(rows):
+        for j in range(i + 1, len(rows)):
+            both = len(np.intersect1d(a, rows[j]))
+            links = 100 * both >= percent * (len(a) + len(rows[j]) - both)
+            assert near[i, j] or not links
+            # Large sets without anything in common used to pass.
+            assert percent < 80 or both or len(a) < 500 or not near[i, j]
+
+
+def test_jaccard_connected_classes_move_once(spark, monkeypatch):
+    """Classes that several pivots have in common are compared at once; rows of one id and text count as one."""
+
+    def no_regions(*_):
+        raise AssertionError("regions are for more than LIMIT connected classes")
+
+    monkeypatch.setattr(jaccard, "region_links", no_regions)
+    rng = np.random.default_rng(5)
+    rows = []
+    for group in range(6):
+        base = [f"g{group}w{k}" for k in rng.integers(0, 10_000, 300)]
+        for k in range(8):
+            words = list(base)
+            for place in rng.integers(0, 300, 2):
+                words[place] = f"x{group}y{k}z{place}"
+            rows.append((100 * group + k, " ".join(words)))
+    rows += [rows[9]] * 3 + [(1_000, None), (1_001, "alone")]
+    found = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    known = dict(sets([(i, t or "") for i, t in rows], 5))
+    least = {i: i for i in known}
+    for _ in range(9):
+        for i, a in known.items():
+            for j, b in known.items():
+                if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                    least[i] = least[j] = min(least[i], least[j])
+    assert len(found) == len(rows) and {r.doc_id: r.component_id for r in found} == least
+    assert len(set(least.values())) < len(known) / 4
+
+
+@pytest.mark.parametrize("narrowed", [jaccard.NARROWED, 4])
+def test_jaccard_large_components_keep_their_regions(spark, sf, monkeypatch, narrowed):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = lambda: sorted((r.doc_id, r.component_id) for r in jaccard.classes(docs).collect())
+    want = got()
+    monkeypatch.setattr(jaccard, "LIMIT", 2)
+    monkeypatch.setattr(jaccard, "NARROWED", narrowed)
+    assert got() == want
+
+
 def test_lattice_sums_over_segmentations():
     names = ["▁", "a", "b", "ab", "▁a"] + [f"<0x{i:02X}>" for i in range(256)]
     logs = np.log(np.full(len(names), 1 / len(names)))
