@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -32,8 +33,8 @@ BURST, FAN = 4_096, 64
 ENTRIES = 1_000_000
 # Words, and bytes of words, that a task tells apart before everything leaves.
 WORDS, WORD_BYTES = 500_000, 64 << 20
-# Bytes of text that are counted at a time.
-SLICE = 1 << 20
+# Bytes of a group's text that are counted at a time, and how many times that may wait in all groups.
+SLICE, WAITING = 1 << 20, 8
 # Prefix partitions: some at least, so that there are no more runs than entries times a
 # constant, and one for so many bytes of text.
 PARTS, PART_BYTES = 256, 4 << 20
@@ -94,8 +95,11 @@ class HatTrie:
         for word, low, high in zip(firsts[starts].tolist(), starts, ends):
             node = self.first.get(word)
             if node is None:
-                node = self.first[word] = {}
-            if type(node) is Burst:
+                node = self.first[word] = dict(zip(rest[low:high], counts[low:high]))
+                grown = len(node)
+                if grown > BURST:
+                    self.first[word] = self._burst(node)
+            elif type(node) is Burst:
                 before = sum(map(len, node))
                 for key, n in zip(rest[low:high], counts[low:high]):
                     below = node[(key >> BITS) % FAN]
@@ -120,18 +124,23 @@ class HatTrie:
 
     def take(self, keep: int) -> tuple[np.ndarray, np.ndarray]:
         """Removes the largest subtrees until at most ``keep`` entries stay; their keys and counts."""
-        keys, counts = [], []
-        for word in sorted(self.sizes, key=self.sizes.get, reverse=True):
+        words, sizes, containers = [], [], []
+        for word in sorted(self.sizes, key=self.sizes.get, reverse=True) if keep else list(self.sizes):
             if self.size <= keep:
                 break
-            self.size -= self.sizes.pop(word)
+            size = self.sizes.pop(word)
+            self.size -= size
+            words.append(word)
+            sizes.append(size)
             node = self.first.pop(word)
-            for below in node if type(node) is Burst else [node]:
-                keys.append(np.fromiter(below.keys(), np.int64, len(below)) | (word << 2 * BITS))
-                counts.append(np.fromiter(below.values(), np.int64, len(below)))
-        if not keys:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(keys), np.concatenate(counts)
+            if type(node) is Burst:
+                containers += node
+            else:
+                containers.append(node)
+        total = sum(sizes)
+        keys = np.fromiter(chain.from_iterable(containers), np.int64, total)
+        keys |= np.repeat(np.array(words, np.int64) << 2 * BITS, sizes)
+        return keys, np.fromiter(chain.from_iterable(c.values() for c in containers), np.int64, total)
 
 
 def count(ids: np.ndarray, old: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,14 +193,19 @@ class Counter:
             return
         self.waiting.setdefault(group, []).append(text)
         self.bytes[group] = self.bytes.get(group, 0) + len(text) + 1
-        if sum(self.bytes.values()) > SLICE:
+        if self.bytes[group] > SLICE:
+            yield from self._some(group)
+        elif sum(self.bytes.values()) > WAITING * SLICE:
             yield from self.flush()
 
     def flush(self) -> Iterator[tuple]:
-        waiting, self.waiting, self.bytes = self.waiting, {}, {}
-        for group, texts in waiting.items():
-            self._count(group, self._ids(END.join(texts)), 0)
-            yield from self._leave()
+        for group in list(self.waiting):
+            yield from self._some(group)
+
+    def _some(self, group: str) -> Iterator[tuple]:
+        del self.bytes[group]
+        self._count(group, self._ids(END.join(self.waiting.pop(group))), 0)
+        yield from self._leave()
 
     def _long(self, group: str, text: bytes) -> Iterator[tuple]:
         """One text in slices; the last words of each go before the next."""
@@ -218,9 +232,15 @@ class Counter:
     def _leave(self) -> Iterator[tuple]:
         if self.words.full():
             yield from self.rest()
-        elif sum(t.size for t in self.tries.values()) > ENTRIES:
-            for group, trie in self.tries.items():
-                yield from self._runs(group, *trie.take(trie.size // 2))
+        elif (total := sum(t.size for t in self.tries.values())) > ENTRIES:
+            # Half of all; the largest tries first and whole, so that runs are few and long.
+            more = total - total // 2
+            for group, trie in sorted(self.tries.items(), key=lambda x: x[1].size, reverse=True):
+                before = trie.size
+                yield from self._runs(group, *trie.take(max(before - more, 0)))
+                more -= before - trie.size
+                if more <= 0:
+                    break
 
     def rest(self) -> Iterator[tuple]:
         """All that is left."""
@@ -235,14 +255,15 @@ class Counter:
         if not len(keys):
             return
         columns = [keys >> 2 * BITS, (keys >> BITS) & MASK, keys & MASK]
-        used = np.unique(np.concatenate([[0], *columns]))
-        names = [self.words.names[i] for i in used.tolist()]
-        order = sorted(range(len(names)), key=names.__getitem__)
-        rank = np.empty(len(names), np.int64)
-        rank[order] = np.arange(len(names))
+        rank = np.zeros(len(self.words.names), np.int64)
+        for c in columns:
+            rank[c] = 1
+        rank[0] = 1
+        used = sorted(np.flatnonzero(rank).tolist(), key=self.words.names.__getitem__)
+        rank[used] = np.arange(len(used))
         # From now on words are their rank; the empty one is first.
-        columns = [rank[np.searchsorted(used, c)] for c in columns]
-        names = [names[i] for i in order]
+        columns = [rank[c] for c in columns]
+        names = [self.words.names[i] for i in used]
         hashes = np.array([zlib.crc32(w) for w in names], np.uint64)
         share = np.where(columns[2] > 0, hashes[columns[2]] % np.uint64(SPLIT) + np.uint64(1), np.uint64(0))
         part = mix(mix(hashes[columns[0]] + np.uint64(zlib.crc32(group.encode()) << 32)) + hashes[columns[1]] * np.uint64(31))

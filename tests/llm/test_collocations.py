@@ -95,3 +95,14 @@ def test_trie_keeps_every_count(monkeypatch):
     for k, n in zip(*(x.tolist() for x in trie.take(0))):
         got[k] += n
     assert got == want and trie.size == 0 and any(k & ops.MASK for k in want)
+
+
+def test_the_largest_tries_leave_whole(monkeypatch):
+    monkeypatch.setattr(ops, "ENTRIES", 100)
+    counter = ops.Counter(1, 3)
+    for group, n in (("a", 5), ("b", 60), ("c", 10)):
+        counter._count(group, counter._ids(b" ".join(b"%d" % i for i in range(n))), 0)
+    sizes = {g: t.size for g, t in counter.tries.items()}
+    assert [r[1] for r in counter._leave()] == ["b"]
+    assert {g: t.size for g, t in counter.tries.items() if g != "b"} == {"a": sizes["a"], "c": sizes["c"]}
+    assert sum(t.size for t in counter.tries.values()) <= sum(sizes.values()) / 2
