@@ -1,6 +1,7 @@
 """Texts of an Arrow batch as one byte array, with hashes of their words and word runs.
 
-Everything is done for all texts of a chunk at once; a chunk has a MB, or is one long text.
+Everything is done for all texts of a chunk at once; a chunk has a quarter of a MB, or is one long text.
+A byte takes some 50 bytes of arrays while it is hashed, so a chunk is what a worker's memory goes by.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
@@ -65,7 +66,9 @@ def prefix_sums(data: np.ndarray, table: np.ndarray = BYTES) -> tuple[np.ndarray
     """``p`` and ``down`` so that ``(p[j] - p[i]) * down[i]`` is a hash of the bytes i to j."""
     up, down = powers(len(data) + 1)
     p = np.zeros(len(data) + 1, U)
-    np.cumsum(table[data] * up[:-1], out=p[1:])
+    values = table[data]
+    values *= up[:-1]
+    np.cumsum(values, out=p[1:])
     return p, down
 
 

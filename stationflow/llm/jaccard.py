@@ -74,10 +74,13 @@ def common_shingles(rows: DataFrame, n: int) -> DataFrame:
         kept: list[np.ndarray] = []
 
         def flush():
-            h, c = np.unique(np.concatenate(kept), return_counts=True)
+            h = np.concatenate(kept)
             kept.clear()
+            h.sort()
+            at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            c = np.diff(at, append=len(h))
             often = c > 2
-            arrays = [pa.array(h[often].view(np.int64)), pa.array(c[often])]
+            arrays = [pa.array(h[at[often]].view(np.int64)), pa.array(c[often])]
             return pa.RecordBatch.from_arrays(arrays, ["h", "c"])
 
         for b in batches:

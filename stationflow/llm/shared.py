@@ -15,7 +15,7 @@ from stationflow.sources.tables import store
 SPACED = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 __all__ = ["SPACED", "UPPER", "bound_batches", "fold", "keyed", "numbered", "only_keys", "span_list", "store"]
 
@@ -24,7 +24,8 @@ def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of at most ``BATCH_BYTES``, or one row, unless the session has its own limit.
 
     Spark's default of 64 MB is held several times over for each task: by the JVM
-    and by Python, as input and as output.
+    and by Python, as input and as output. Both keep for later what they once took,
+    so the largest batch counts even when it is gone.
     """
     if spark.conf.get(BATCH_KEY, None) is None:
         spark.conf.set(BATCH_KEY, str(BATCH_BYTES))

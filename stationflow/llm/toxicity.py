@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +34,14 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.maximum(ids, 1), np.concatenate(of)
 
 
-def fit(examples: pd.DataFrame) -> pd.DataFrame:
-    """Weights that are not zero, of one pass after another over the examples in hash order."""
-    examples = examples.sort_values(["order", "y"])
-    rows = [(np.frombuffer(f, np.int32), y) for f, y in zip(examples.f, examples.y)]
+def fit(examples: pa.Table) -> pa.Table:
+    """Weights that are not zero, of one pass after another over the examples in hash order.
+
+    The features are read where Arrow has them; all of them are in memory once.
+    """
+    y = examples["y"].to_numpy()
+    features_of = [np.frombuffer(f.as_buffer(), np.int32) for f in examples["f"]]
+    rows = [(features_of[k], y[k]) for k in np.lexsort((y, examples["order"].to_numpy())).tolist()]
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
 
     def weights(i):
@@ -54,7 +57,7 @@ def fit(examples: pd.DataFrame) -> pd.DataFrame:
             n[i] += g * g
     seen = np.flatnonzero(n)
     w = weights(seen)
-    return pd.DataFrame({"i": seen[w != 0], "w": w[w != 0]})
+    return pa.table({"i": seen[w != 0].astype(np.int32), "w": w[w != 0]})
 
 
 def train(
@@ -100,7 +103,7 @@ def train(
                 )
 
     examples = picked.mapInArrow(extract, "f binary, y int, order long")
-    return store(examples.groupBy().applyInPandas(fit, "i int, w double"), "weights")
+    return store(examples.groupBy().applyInArrow(fit, "i int, w double"), "weights")
 
 
 def score(

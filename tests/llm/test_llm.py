@@ -425,6 +425,42 @@ def test_flat_runs_of_words():
     assert np.diff(at).tolist() == [2, 0, 0, 1, 1] and total[0] == total[2]
 
 
+def test_hashing_takes_memory_by_the_chunk():
+    """A worker's arrays go by the chunk, not by the batch, and stay a few MB."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([f"some words of text {i} " * 2_000 for i in range(100)])
+    flat.powers(flat.CHUNK + 1)
+    tracemalloc.start()
+    hashed = sum(len(h) for _, _, h, _ in jaccard._shingles(texts, 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hashed == 500 and peak < 16 << 20
+
+
+def test_fit_reads_features_in_place_whatever_their_order():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    rows = [(np.arange(3 * i, 3 * i + 8_000, dtype=np.int32).tobytes(), i % 2, i) for i in range(1_000)]
+
+    def table(rows):
+        return pa.table({"f": pa.array([r[0] for r in rows], pa.binary()), "y": pa.array([r[1] for r in rows], pa.int32()), "order": [r[2] for r in rows]})
+
+    one, parts = table(rows), [table([rows[k] for k in some]) for some in np.split(rng.permutation(1_000), 10)]
+    tracemalloc.start()
+    got = toxicity.fit(one)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Less than the 32 MB of the features, with the model's 16 MB.
+    assert peak < 24 << 20
+    assert got.num_rows and got.equals(toxicity.fit(pa.concat_tables(parts)))
+
+
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     names = docs.columns
