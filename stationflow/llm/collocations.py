@@ -268,16 +268,22 @@ class Counter:
         share = np.where(columns[2] > 0, hashes[columns[2]] % np.uint64(SPLIT) + np.uint64(1), np.uint64(0))
         part = mix(mix(hashes[columns[0]] + np.uint64(zlib.crc32(group.encode()) << 32)) + hashes[columns[1]] * np.uint64(31))
         part = (mix(part + share) % np.uint64(self.parts)).astype(np.int64)
-        order = np.lexsort((columns[0] << 2 * BITS | columns[1] << BITS | columns[2], part))
+        # Keys are distinct, so only the parts need a stable order; 16 bits are dealt out without comparing.
+        order = np.argsort(columns[0] << 2 * BITS | columns[1] << BITS | columns[2])
+        dealt = part[order].astype(np.uint16 if self.parts <= 1 << 16 else np.int64)
+        order = order[np.argsort(dealt, kind="stable")]
         part, counts = part[order], counts[order]
         columns = np.stack([c[order] for c in columns])
         cuts = (np.flatnonzero(np.diff(part)) + 1).tolist()
         pack = zstandard.ZstdCompressor(level=1).compress
+        place = np.empty(len(names), np.uint32)
         for low, high in zip([0, *cuts], [*cuts, len(part)]):
-            own, ids = np.unique(columns[:, low:high], return_inverse=True)
+            own = np.sort(columns[:, low:high], axis=None)
+            own = own[np.concatenate(([True], own[1:] != own[:-1]))]
+            place[own] = np.arange(len(own))
             words = b"\n".join([names[i] for i in own.tolist()])
             # First words ascend, so their steps are small.
-            ids = ids.reshape(3, -1).astype("<u4")
+            ids = place[columns[:, low:high]].astype("<u4")
             ids[0, 1:] = np.diff(ids[0])
             run = (high - low).to_bytes(8, "little") + planes(counts[low:high]) + planes(ids)
             yield int(part[low]), group, pack(run + words)
@@ -307,13 +313,16 @@ class Merge:
         """Distinct phrases as three word numbers each, and their counts."""
         ids = np.concatenate([i for i, _ in self.waiting], axis=1)
         counts = np.concatenate([c for _, c in self.waiting])
-        # Two numbers of 32 bits fit in one of 64, so pairs are numbered first.
-        pairs, pair = np.unique(ids[0] << 32 | ids[1], return_inverse=True)
-        keys, at = np.unique(pair << 32 | ids[2], return_inverse=True)
-        sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, at, counts)
-        two = pairs[keys >> 32]
-        ids = np.stack([two >> 32, two & 0xFFFFFFFF, keys & 0xFFFFFFFF])
+        if len(self.words) <= 1 << BITS:
+            keys = ids[0] << 2 * BITS | ids[1] << BITS | ids[2]
+        else:
+            # Two numbers of 32 bits fit in one of 64, so pairs are numbered first.
+            keys = np.unique(ids[0] << 32 | ids[1], return_inverse=True)[1] << 32 | ids[2]
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        sums = np.add.reduceat(counts[order], first)
+        ids = ids[:, order[first]]
         self.waiting = [(ids, sums)]
         # As many again may come, so that adding up costs no more than twice.
         self.pending = 0

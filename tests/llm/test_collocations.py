@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 
 from stationflow.llm import collocations as ops
 from stationflow.llm.shared import UPPER
@@ -106,3 +107,30 @@ def test_the_largest_tries_leave_whole(monkeypatch):
     assert [r[1] for r in counter._leave()] == ["b"]
     assert {g: t.size for g, t in counter.tries.items() if g != "b"} == {"a": sizes["a"], "c": sizes["c"]}
     assert sum(t.size for t in counter.tries.values()) <= sum(sizes.values()) / 2
+
+
+@pytest.mark.parametrize("bits", [21, 2])
+def test_runs_and_merges_sort_their_keys_once(monkeypatch, bits):
+    """No inverse of a sort for runs, nor for a partition whose word numbers fit in one key."""
+    monkeypatch.setattr(ops, "ENTRIES", 200)
+    rows, counter, unique = list(texts(40)), ops.Counter(7, 3), np.unique
+    if bits == 21:
+        monkeypatch.setattr(ops.np, "unique", lambda x, return_inverse=False, **k: None if return_inverse else unique(x, **k))
+    runs, want, got = [], Counter(), Counter()
+    for _, text in rows:
+        runs += counter.add("en", text.encode())
+    runs += [*counter.flush(), *counter.rest()]
+    monkeypatch.setattr(ops, "BITS", bits)
+    parts = {}
+    for part, _, run in runs:
+        parts.setdefault(part, ops.Merge()).add(zstandard.ZstdDecompressor().decompress(run))
+    for merge in parts.values():
+        merge.total()
+        phrases, counts, _ = merge.frequent(1)
+        assert len(set(phrases)) == len(phrases)
+        got.update(dict(zip(phrases, counts)))
+    for _, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.translate(FOLD)):
+            words = [w.encode() for w in re.findall(r"[^\x20\x09]+", piece)]
+            want.update(b" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1))
+    assert got == want and len(runs) >= 14
